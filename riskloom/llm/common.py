@@ -94,3 +94,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Bound what a Python worker holds at once: texts may be long, so Arrow batches are kept short."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

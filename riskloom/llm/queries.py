@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["exact_dedup", "url_filter"]
+MODULES = ["byte_bpe", "simhash_dedup", "exact_dedup", "packing", "url_filter"]
 
 
 def _collect(attribute: str) -> dict:
