@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["byte_bpe", "simhash_dedup", "exact_dedup", "packing", "url_filter"]
+MODULES = ["warc_derivatives", "language_id", "vector_search", "chat_format", "byte_bpe", "simhash_dedup", "exact_dedup", "packing", "url_filter"]
 
 
 def _collect(attribute: str) -> dict:
