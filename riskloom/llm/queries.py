@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["warc_derivatives", "language_id", "vector_search", "chat_format", "byte_bpe", "simhash_dedup", "exact_dedup", "packing", "url_filter"]
+import corpus_pipeline
+
+MODULES = ["warc_derivatives", "language_id", "suffix_dedup", "vector_search", "chat_format", "byte_bpe", "simhash_dedup", "exact_dedup", "packing", "url_filter"]
 
 
 def _collect(attribute: str) -> dict:
@@ -15,8 +17,8 @@ def _collect(attribute: str) -> dict:
 
 
 def queries() -> dict:
-    return _collect("QUERIES")
+    return _collect("QUERIES") | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
-    return _collect("ORACLE")
+    return _collect("ORACLE") | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
