@@ -115,10 +115,14 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     rows = train.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     seen = document_frequencies(rows.select("text"))
     idf = (np.log((1 + seen[-1]) / (1 + seen[:-1])) + 1).astype(np.float32)
-    langs = sorted(r["lang"] for r in rows.select("lang").distinct().limit(fit_rows).collect())
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(fit_rows).collect()}
+    langs = sorted(sizes)
     each = max(1, fit_rows // max(1, len(langs)))
-    # The id and its hash alone are ranked; texts are then picked by a broadcast of fit_rows ids at most.
-    ranked = rows.selectExpr("id", "lang", "row_number() over (partition by lang order by xxhash64(id), id) as r").where(F.col("r") <= each).select("id", "lang").distinct()
+    # Ids below a hash limit, some three times as many as are wanted, are ranked; texts are then picked by a broadcast of
+    # fit_rows ids at most.
+    limits = spark.createDataFrame([(x, int(min(1.0, (3 * each + 50) / n) * (1 << 30))) for x, n in sizes.items()], "lang string, most long")
+    low = rows.select("id", "lang").join(F.broadcast(limits), "lang").where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30)) <= F.col("most"))
+    ranked = low.selectExpr("id", "lang", "row_number() over (partition by lang order by xxhash64(id), id) as r").where(F.col("r") <= each).select("id", "lang").distinct()
     picked = rows.join(F.broadcast(ranked), ["id", "lang"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
