@@ -53,7 +53,7 @@ def factor_returns(df: DataFrame, styles: list[str], industry: str = "industry",
     """
 
     def one_day(day: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"trade_date": [], "factor_group": [], "factor": [], "value": []})
+        none = pd.DataFrame(columns=["trade_date", "factor_group", "factor", "value"], dtype=object)
         have = [s for s in styles if day[s].notna().any()]
         names = np.sort(day["industry"].unique())
         if len(day) <= 1 + len(names) + len(have):
