@@ -183,6 +183,8 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``(a, b)`` edges of a forest over the distinct fingerprints ``fp`` that links all within the distance."""
     spark = distinct.sparkSession
     total = distinct.count()
+    if not total:
+        return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
     some = [r[0] for r in distinct.orderBy(F.xxhash64("fp", F.lit(7))).limit(PLAN_ROWS).select("fp").collect()]
     chosen = plan(np.array(some, dtype=np.int64).view(np.uint64), max(1, total), distance)
     keyed = []

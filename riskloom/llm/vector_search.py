@@ -74,7 +74,9 @@ class Rounded:
         q = np.clip(np.rint(data / self.scale[:, None]), -127, 127)
         self.q = q.astype(np.float32 if 127 * 127 * data.shape[1] < 1 << 24 else np.float64)
         rest = q * self.scale[:, None]
-        self.size, self.rounded, self.error = (np.sqrt((x * x).sum(axis=1)) for x in (data, rest, data - rest))
+        # Norms in units of the scale: squares of very small components would vanish.
+        units = ((x / self.scale[:, None]) ** 2 for x in (data, rest, data - rest))
+        self.size, self.rounded, self.error = (np.sqrt(u.sum(axis=1)) * self.scale for u in units)
 
 
 def products(rows: np.ndarray, one: np.ndarray) -> np.ndarray:
