@@ -156,7 +156,7 @@ class RangeMinimum:
         """Least of g[a..b], a <= b."""
         k = np.frexp((b - a + 1).astype(np.float64))[1] - 1
         out = np.empty(len(a), dtype=self.levels[0].dtype)
-        for level in np.unique(k):
+        for level in np.nonzero(np.bincount(k))[0].tolist():
             i = k == level
             t = self.levels[level]
             out[i] = np.minimum(t[a[i]], t[b[i] - (1 << level) + 1])
@@ -215,7 +215,7 @@ def sort_suffixes(text: np.ndarray, depth: int, memory: int = MEMORY_NAMES, queu
     order_lcp = direct_lcp(s, order, depth)
     change = np.where(np.append(s[1:] != s[:-1], True), np.arange(n + 1), n)
     run = np.minimum(np.minimum.accumulate(change[::-1])[::-1] - np.arange(n + 1) + 1, depth).astype(np.int16)
-    symbols = np.unique(s)
+    symbols = np.nonzero(np.bincount(s))[0]
     bounds = np.searchsorted(s[order], np.append(symbols, symbols[-1] + 1))
 
     # Ascending: L suffixes, from those before them and from the LMS suffixes that close a symbol's share.

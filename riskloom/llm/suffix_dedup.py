@@ -7,8 +7,8 @@ place, so windows are dealt to shards by it, in maximal stretches that share one
 2. Each bucket sends each of its minimizers once; those that another bucket has, too, come back.
 3. Each bucket sends a stretch whose minimizer is known to repeat: each different string once, with the first of its documents
    there; the other documents' copies are surely covered and stay behind as finished intervals.
-4. A shard puts the different strings of each minimizer that has several into one text and sorts its suffixes by external
-   induction with common-prefix lengths; suffixes that share ``length`` bytes are one class, whose least document id
+4. A shard puts the different strings of each minimizer that has several into one text, leaves out those that agree with
+   no other for half a window to either side of the minimizer, and sorts the text's suffixes by external induction with common-prefix lengths; suffixes that share ``length`` bytes are one class, whose least document id
    decides which of its windows go.  A string alone under its minimizer is a class by itself.
 5. The intervals go back to the buckets, are merged and cut out.
 
@@ -19,7 +19,7 @@ character; empty tables give no rows; other columns don't matter.
 
 from __future__ import annotations
 
-import hashlib
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -34,8 +34,10 @@ from riskloom.llm.common import read, shared_dir, small_batches
 from riskloom.llm.induced_sort import sort_suffixes
 
 LENGTH, GRAM = 50, 24
-#: Text bytes of a bucket that are aimed at, text of a batch of documents that is hashed at once, and of a suffix sort.
-BUCKET_BYTES, HASH_BYTES, SORT_BYTES = 12 << 20, 1 << 17, 1 << 20
+#: Text bytes of a bucket that are aimed at, of a batch of documents that is hashed at once, and of a suffix sort.
+BUCKET_BYTES, HASH_BYTES, SORT_BYTES = 6 << 20, 1 << 17, 1 << 20
+#: Text bytes whose minimizers a task compares at once (some million), and the leading bits of them that are compared.
+RANGE_BYTES, KEY_BITS = 16 << 20, 48
 NO_ID = np.iinfo(np.int64).max
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = (np.arange(1, 257, dtype=np.uint64) * MIX) ^ (np.arange(1, 257, dtype=np.uint64) << np.uint64(29))
@@ -61,16 +63,20 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def stretches(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, number of windows, minimizer) of each maximal stretch of windows of one minimizer."""
+def stretches(data: np.ndarray, length: int, gram: int, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first window, minimizer) of each maximal stretch of windows of one minimizer, cut at the edges."""
     windows, width = len(data) - length + 1, length - gram + 1
     low, size = gram_hashes(data, gram), 1
     while size * 2 <= width:
         low = np.minimum(low[:-size], low[size:])
         size *= 2
     low = np.minimum(low[:windows], low[width - size : width - size + windows])
-    start = np.nonzero(np.append(True, low[1:] != low[:-1]))[0]
-    return start, np.diff(np.append(start, windows)), low[start].view(np.int64)
+    new = np.empty(windows, dtype=bool)
+    new[0] = True
+    np.not_equal(low[1:], low[:-1], out=new[1:])
+    new[edges[edges < windows]] = True
+    start = np.nonzero(new)[0]
+    return start, low[start]
 
 
 def hashed(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -87,21 +93,32 @@ def hashed(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[bytes,
             size += len(pieces[done][2])
             done += 1
         some = pieces[begin:done]
-        joined = b"".join(t for _, _, t in some)
+        joined = b"".join([t for _, _, t in some])
         if len(joined) < length:
             continue
         edge = np.cumsum([0] + [len(t) for _, _, t in some])
-        start, count, key = stretches(np.frombuffer(joined, dtype=np.uint8), length, gram)
-        # Stretches are cut at the ends of pieces; what is left there of less than a window goes.
-        cut = np.union1d(start, edge[1:-1][edge[1:-1] < len(joined) - length + 1])
-        key = key[np.searchsorted(start, cut, side="right") - 1]
-        end = np.append(cut[1:], len(joined) - length + 1)
-        owner = np.searchsorted(edge, cut, side="right") - 1
-        end = np.minimum(end + length - 1, edge[owner + 1])
-        ok = end - cut >= length
-        cut, end, key, owner = cut[ok], end[ok], key[ok], owner[ok]
+        start, key = stretches(np.frombuffer(joined, dtype=np.uint8), length, gram, edge)
+        owner = np.repeat(np.arange(len(some)), np.diff(np.searchsorted(start, edge)))
+        end = np.minimum(np.append(start[1:], len(joined) - length + 1) + length - 1, edge[owner + 1])
+        # What is left of a piece after its last window goes.
+        ok = end - start >= length
+        start, end, key, owner = start[ok], end[ok], key[ok], owner[ok]
         number, base = np.array([i for i, _, _ in some]), np.array([at for _, at, _ in some])
-        yield joined, cut, end, key, number[owner], cut - edge[owner] + base[owner]
+        yield joined, start, end, key, number[owner], start - edge[owner] + base[owner]
+
+
+def distinct(a: np.ndarray) -> np.ndarray:
+    a = np.sort(a)
+    return a[np.append(True, a[1:] != a[:-1])] if len(a) else a
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted unsigned numbers as differences, in planes of equal bytes, which the shuffle's codec then shrinks."""
+    return np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
 
 
 def merged(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,6 +137,7 @@ class Layout:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, bucket_bytes: int, others: list[str]):
         self.spark = spark = docs.sparkSession
         size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+        self.ranges = max(1, -(-size // RANGE_BYTES))
         self.buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
         self.bucket = F.pmod(F.xxhash64("row"), F.lit(self.buckets)).cast("int")
         own = F.col(id_col).cast("long")
@@ -130,10 +148,13 @@ class Layout:
         name = f"riskloom_layout_{uuid.uuid4().hex}"
         path = os.path.join(shared_dir(spark), name)
         rows = rows.withColumn("bucket", self.bucket).repartition(self.buckets, "bucket")
-        rows.write.format("parquet").option("path", path).bucketBy(self.buckets, "bucket").saveAsTable(name)
+        rows.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(self.buckets, "bucket").saveAsTable(name)
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-        spark._jvm.System.gc()  # lets the shuffle files of the layout go
+        # The layout's shuffle files go as soon as nothing refers to them any more.
+        del rows
+        gc.collect()
+        spark._jvm.System.gc()
         self.rows = spark.table(name)
 
     def with_bucket(self, other: DataFrame) -> DataFrame:
@@ -145,60 +166,58 @@ def intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     if not 0 < gram <= length:
         raise ValueError((gram, length))
     lay = Layout(docs, id_col, text_col, bucket_bytes, others or [])
-    spark = lay.spark
-    small_batches(spark)
+    spark, ranges = lay.spark, lay.ranges
+    small_batches(spark, 5000)
     ints = lambda a: np.asarray(a, dtype="<i8").tobytes()
 
     def send(df: pd.DataFrame) -> pd.DataFrame:
-        found = [x[3] for x in hashed(df["text"].tolist(), length, gram)]
-        keys = np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
-        return pd.DataFrame({"key": keys, "bucket": np.full(len(keys), df["bucket"].iloc[0], dtype=np.int32)})
-
-    texts = lay.rows.select("bucket", "row", "id", "text")
-    sent = texts.groupBy("bucket").applyInPandas(send, "key long, bucket int")
-
-    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by key; a key is in more than one bucket if it comes twice."""
-        held: tuple[np.ndarray, np.ndarray] | None = None
-        for b in batches:
-            key, bucket = b.column(0).to_numpy(), b.column(1).to_numpy()
-            if held is not None:
-                key, bucket = np.concatenate([held[0], key]), np.concatenate([held[1], bucket])
-            # The last key may go on; what is known of it is carried over once, with a mark that it has been seen.
-            cut = int(np.searchsorted(key, key[-1]))
-            held = (key[cut:], bucket[cut:])
-            yield twice(key[:cut], bucket[:cut])
-        if held is not None:
-            yield twice(*held)
-
-    def twice(key: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
+        """A bucket's minimizers, each once, packed by ranges of them."""
+        found = [x[3] >> np.uint64(64 - KEY_BITS) for x in hashed(df["text"].tolist(), length, gram)]
+        keys = distinct(np.concatenate(found)) if found else np.zeros(0, dtype=np.uint64)
+        edge = np.searchsorted(keys, [np.uint64((r << KEY_BITS) // ranges) for r in range(ranges)]).tolist() + [len(keys)]
+        some = [r for r in range(ranges) if edge[r] < edge[r + 1]]
+        return pd.DataFrame({"range": pd.array(some, dtype="int32"), "bucket": pd.array([df["bucket"].iloc[0]] * len(some), dtype="int32"), "keys": [packed(keys[edge[r] : edge[r + 1]]) for r in some]})
+
+    def meet(df: pd.DataFrame) -> pd.DataFrame:
+        """Those minimizers of each bucket that another bucket has, too."""
+        lists = [unpacked(x) for x in df["keys"]]
+        key, bucket = np.concatenate(lists), np.repeat(df["bucket"].to_numpy(), [len(x) for x in lists])
+        order = np.argsort(key, kind="stable")
+        key, bucket = key[order], bucket[order]
         same = key[1:] == key[:-1]
-        keep = np.append(same, False) | np.append(False, same) if len(key) else np.zeros(0, dtype=bool)
-        return pa.RecordBatch.from_arrays([pa.array(bucket[keep]), pa.array(key[keep])], names=["bucket", "key"])
+        both = np.append(same, False) | np.append(False, same)
+        key, bucket = key[both], bucket[both]
+        order = np.argsort(bucket, kind="stable")
+        key, bucket = key[order], bucket[order]
+        edge = np.nonzero(np.append(True, bucket[1:] != bucket[:-1]))[0].tolist() if len(bucket) else []
+        return pd.DataFrame({"bucket": pd.array(bucket[edge], dtype="int32"), "keys": [packed(key[a:z]) for a, z in zip(edge, [*edge[1:], len(key)], strict=False)]})
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5000")
-    back = sent.repartition("key").sortWithinPartitions("key").mapInArrow(repeats, "bucket int, key long")
-    back = back.groupBy("bucket").agg(F.collect_list("key").alias("keys"))
+    texts = lay.rows.select("bucket", "row", "id", "text")
+    sent = texts.groupBy("bucket").applyInPandas(send, "range int, bucket int, keys binary")
+    back = sent.groupBy("range").applyInPandas(meet, "bucket int, keys binary")
 
     def extract(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         """Rows (key, text, row, id, starts) for the shards; with a null text: finished intervals (row, starts, ends)."""
         names = ["key", "text", "row", "id", "starts", "ends"]
         if not len(texts):
             return pd.DataFrame([], columns=names)
-        keys = np.sort(np.concatenate([np.asarray(x, dtype=np.int64) for x in known["keys"]])) if len(known) else np.zeros(0, dtype=np.int64)
+        keys = [unpacked(x) for x in known["keys"]]
         texts = texts.sort_values(["id", "row"], kind="stable")
         ids, numbers = texts["id"].to_numpy(), texts["row"].to_numpy()
         parts = list(hashed(texts["text"].tolist(), length, gram))
         if parts:
             # Minimizers that two documents of this bucket share.
-            key, doc = np.concatenate([x[3] for x in parts]), ids[np.concatenate([x[4] for x in parts])]
-            o = np.lexsort((doc, key))
+            key, doc = np.concatenate([x[3] for x in parts]) >> np.uint64(64 - KEY_BITS), ids[np.concatenate([x[4] for x in parts])]
+            o = np.argsort(key, kind="stable")  # documents come in the order of their ids
             key, doc = key[o], doc[o]
-            keys = np.unique(np.concatenate([keys, key[1:][(key[1:] == key[:-1]) & (doc[1:] != doc[:-1])]]))
+            keys.append(key[1:][(key[1:] == key[:-1]) & (doc[1:] != doc[:-1])])
+        keys = distinct(np.concatenate(keys)) if keys else np.zeros(0, dtype=np.uint64)
         first: dict[tuple[int, bytes], tuple[int, dict[int, list[int]]]] = {}
         done: dict[int, list[tuple[int, int]]] = {}
         for joined, start, end, key, number, place in parts if len(keys) else []:
-            hit = keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key
+            short = key >> np.uint64(64 - KEY_BITS)
+            hit = keys[np.minimum(np.searchsorted(keys, short), len(keys) - 1)] == short
+            key = key.view(np.int64)
             one, row = ids[number[hit]].tolist(), numbers[number[hit]].tolist()
             for k, a, b, i, r, p in zip(key[hit].tolist(), start[hit].tolist(), end[hit].tolist(), one, row, place[hit].tolist(), strict=True):
                 least, rows = first.setdefault((k, joined[a:b]), (i, {}))
@@ -222,37 +241,79 @@ def intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             cols = list(zip(*rows, strict=True)) if rows else ([], [], [])
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["row", "begins", "ends"])
 
+        def alone(t: bytes, own: list[tuple[int, int, bytes]]) -> list[tuple]:
+            """Intervals of a string that shares no window with another."""
+            least = min(one for _, one, _ in own)
+            return [(row, starts, ints(np.frombuffer(starts, dtype="<i8") + len(t))) for row, one, starts in own if one > least]
+
         def close() -> tuple[list[tuple], list]:
             """Intervals of a minimizer with one string; or the strings of one with several, with their rows."""
             strings: dict[bytes, list[tuple[int, int, bytes]]] = {}
             for t, row, one, starts in group:
                 strings.setdefault(t, []).append((row, one, starts))
             if len(strings) > 1:
-                return [], list(strings.items())
-            out = []
-            for t, own in strings.items():
-                least = min(one for _, one, _ in own)
-                out += [(row, starts, ints(np.frombuffer(starts, dtype="<i8") + len(t))) for row, one, starts in own if one > least]
-            return out, []
+                return [], [(key, t, own) for t, own in strings.items()]
+            return [x for t, own in strings.items() for x in alone(t, own)], []
+
+        def related(data: np.ndarray, edge: np.ndarray, keys: np.ndarray) -> np.ndarray:
+            """Which strings agree with another of their minimizer for half a window beside it, as all that share a window do."""
+            half = (length - gram + 1) // 2
+            n = len(edge) - 1
+            if not half:
+                return np.ones(n, dtype=bool)
+            owner = np.repeat(np.arange(n), np.diff(edge))
+            h = gram_hashes(data, gram)
+            at = np.nonzero(h == keys[owner[: len(h)]])[0]
+            at = at[at + gram <= edge[owner[at] + 1]]
+            found = np.zeros(n, dtype=bool)
+            for begin in (at - half, at + gram):
+                ok = (begin >= edge[owner[at]]) & (begin + half <= edge[owner[at] + 1])
+                own, begin = owner[at][ok], begin[ok]
+                if not len(own):
+                    continue
+                side = np.zeros(len(own), dtype=np.uint64)
+                for i in range(half):
+                    side = (side ^ SPREAD[data[begin + i]]) * np.uint64(0x100000001B3)
+                o = np.lexsort((own, side, keys[own]))
+                a, z = o[:-1], o[1:]
+                pair = (keys[own[a]] == keys[own[z]]) & (side[a] == side[z])
+                # A string next to another in the same class; the class may hold the same string several times.
+                cls = np.cumsum(np.append(0, ~pair))
+                low, high = np.full(cls[-1] + 1, n), np.full(cls[-1] + 1, -1)
+                np.minimum.at(low, cls, own[o])
+                np.maximum.at(high, cls, own[o])
+                found[own[o][(low != high)[cls]]] = True
+            return found
 
         def solve() -> list[tuple]:
             """Intervals of all that waits, from one suffix sort."""
             out = []
-            sizes = np.array([len(t) for t, _ in waiting])
+            edge = np.cumsum(np.array([0, *(len(t) for _, t, _ in waiting)]))
+            keep = related(np.frombuffer(b"".join([t for _, t, _ in waiting]), dtype=np.uint8), edge, np.array([k for k, _, _ in waiting], dtype=np.int64).view(np.uint64))
+            some = []
+            for (_, t, own), near in zip(waiting, keep.tolist(), strict=True):
+                if near:
+                    some.append((t, own))
+                else:
+                    out += alone(t, own)
+            waiting.clear()
+            if not some:
+                return out
+            sizes = np.array([len(t) for t, _ in some])
             edge = np.cumsum(np.append(0, sizes + 1))
-            text = np.zeros(int(edge[-1]), dtype=np.uint16)
-            for (t, _), a in zip(waiting, edge, strict=False):
-                text[a : a + len(t)] = np.frombuffer(t, dtype=np.uint8)
-                text[a : a + len(t)] += 1
-            least = np.array([min(one for _, one, _ in own) for _, own in waiting])
+            text = np.frombuffer(b"\0".join([t for t, _ in some]) + b"\0", dtype=np.uint8).astype(np.uint16) + np.uint16(1)
+            text[edge[1:] - 1] = 0
+            least = np.array([min(one for _, one, _ in own) for _, own in some])
             sa, lcp = sort_suffixes(text, length)
-            owner = np.repeat(np.arange(len(waiting)), sizes + 1)[sa]
+            owner = np.repeat(np.arange(len(some)), sizes + 1)[sa]
             head = np.nonzero(np.append(True, lcp[1:] < length))[0]
             best = np.repeat(np.minimum.reduceat(least[owner], head), np.diff(np.append(head, len(sa))))
             of = np.empty(len(sa), dtype=np.int64)
             of[sa] = best
-            for i, (t, own) in enumerate(waiting):
+            for i, (t, own) in enumerate(some):
                 low = of[edge[i] : edge[i] + len(t) - length + 1]
+                if len(own) == 1 and low.min() >= own[0][1]:
+                    continue
                 step = np.nonzero(np.append(True, low[1:] != low[:-1]))[0]
                 stop = np.append(step[1:], len(low)) + length - 1
                 value = low[step]
@@ -261,7 +322,6 @@ def intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                     if gone.any():
                         b = np.frombuffer(starts, dtype="<i8")[:, None]
                         out.append((row, ints((b + step[gone]).ravel()), ints((b + stop[gone]).ravel())))
-            waiting.clear()
             return out
 
         key, ready = None, []
@@ -271,10 +331,10 @@ def intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                     ready.append((row, starts, ends))
                     continue
                 if k != key and group:
-                    alone, several = close()
-                    ready += alone
+                    sure, several = close()
+                    ready += sure
                     waiting += several
-                    size += sum(len(x) for x, _ in several)
+                    size += sum(len(x) for _, x, _ in several)
                     group = []
                     if size >= sort_bytes:
                         ready += solve()
@@ -285,8 +345,8 @@ def intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                 key = k
                 group.append((t, row, one, starts))
         if group:
-            alone, several = close()
-            ready += alone
+            sure, several = close()
+            ready += sure
             waiting += several
         if waiting:
             ready += solve()
