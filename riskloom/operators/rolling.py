@@ -90,13 +90,9 @@ def simple_return(price: str, w: Window) -> Column:
 
 
 def cumulative_return(r: str, w: Window) -> Column:
-    """Product of 1 + r so far less 1; a null adds nothing and stays null itself.  A return of -1 or less keeps its sign."""
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    g = 1 + F.col(r)
-    size = F.exp(F.sum(F.when(g != 0, F.ln(F.abs(g)))).over(upto))
-    sign = F.when(F.sum(F.when(g < 0, 1).otherwise(0)).over(upto) % 2 == 1, -1.0).otherwise(1.0)
-    zero = F.max(F.when(g == 0, 1).otherwise(0)).over(upto) == 1
-    return F.when(F.col(r).isNotNull(), F.when(zero, F.lit(-1.0)).otherwise(F.coalesce(size, F.lit(1.0)) * sign - 1))
+    """Product of 1 + r so far less 1; a null adds nothing and stays null itself."""
+    product = F.product(1 + F.col(r)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return F.when(F.col(r).isNotNull(), product - 1)
 
 
 def drawdown(value: str, w: Window) -> Column:

@@ -27,10 +27,10 @@ def rolling_volatility(returns: DataFrame, window: int = 63, by: str = "factor",
 
 
 def summary(returns: DataFrame, by: str = "factor", value: str = "value", per_year: int = YEAR) -> DataFrame:
-    """Cumulative and annualised return, volatility and Sharpe ratio at a zero rate of each series."""
+    """Cumulative and annualised return (null once all is lost), volatility and Sharpe ratio at a zero rate of each series."""
     g = 1 + F.col(value)
-    s = returns.where(F.col(value).isNotNull()).groupBy(by).agg(F.count("*").alias("n"), (F.exp(F.sum(F.ln(g))) - 1).alias("cumulative"), (F.stddev_samp(value) * F.sqrt(F.lit(float(per_year)))).alias("volatility"))
-    s = s.withColumn("annualised", F.pow(1 + F.col("cumulative"), F.lit(float(per_year)) / F.col("n")) - 1)
+    s = returns.where(F.col(value).isNotNull()).groupBy(by).agg(F.count("*").alias("n"), (F.product(g) - 1).alias("cumulative"), (F.stddev_samp(value) * F.sqrt(F.lit(float(per_year)))).alias("volatility"))
+    s = s.withColumn("annualised", F.when(F.col("cumulative") > -1, F.pow(1 + F.col("cumulative"), F.lit(float(per_year)) / F.col("n")) - 1))
     return s.withColumn("sharpe", ratio(F.col("annualised"), F.col("volatility")))
 
 

@@ -37,25 +37,31 @@ def neat(df: DataFrame, keys: list[str], values: list[str], digits: int = 6) ->
     return df.select(*keys, *[rounded(F.col(v), digits).alias(v) for v in values])
 
 
+def log_price():
+    """Prices are compared as logarithms: quotients of short decimals are often exact ties for rounding."""
+    return rounded(F.ln("price"), 8).alias("log_price")
+
+
 KEY = ["trade_date", "code"]
 WITH = f"with {sql.CELLS}"
 
 
 # --- panel ---------------------------------------------------------------------------------------------------------
-@query(f"{WITH} select trade_date, code, industry, round(market_cap, 5) + 0.0 as market_cap, round(price, 5) + 0.0 as price from panel")
+@query(f"{WITH} select trade_date, code, industry, round(market_cap, 5) + 0.0 as market_cap, round(ln(price), 8) + 0.0 as log_price from panel")
 def panel_densify(spark, sf):
-    return neat(t.monthly_panel(spark, sf), [*KEY, "industry"], ["market_cap", "price"], 5)
+    p = t.monthly_panel(spark, sf)
+    return p.select(*KEY, "industry", rounded(F.col("market_cap"), 5).alias("market_cap"), log_price())
 
 
 @query("""
 with c as (select cast(l_shipdate as date) as trade_date, s_nationkey as nk, sum(l_extendedprice) / sum(l_quantity) as price from lineitem join supplier on l_suppkey = s_suppkey group by 1, 2),
 g as (select d.trade_date, n_nationkey as nk from (select distinct trade_date from c) d cross join nation)
 select g.trade_date, cast(g.nk as varchar) as code,
-       round(last_value(price ignore nulls) over (partition by g.nk order by g.trade_date rows between unbounded preceding and current row), 6) + 0.0 as price
+       round(ln(last_value(price ignore nulls) over (partition by g.nk order by g.trade_date rows between unbounded preceding and current row)), 8) + 0.0 as log_price
 from g left join c on c.trade_date = g.trade_date and c.nk = g.nk
 """)
 def panel_ffill_asof(spark, sf):
-    return neat(t.nation_days(spark, sf), KEY, ["price"])
+    return t.nation_days(spark, sf).select(*KEY, log_price())
 
 
 @query(f"""
@@ -128,10 +134,10 @@ def wide_to_long(spark, sf):
     return neat(panel.to_long(p, ids=("trade_date", "code"), variable="measure"), [*KEY, "measure"], ["value"], 5)
 
 
-@query(f"{WITH}, s as (select min(idx) as i from cal where trade_date >= date '1998-06-15') select trade_date, code, round(price, 6) + 0.0 as price from panel where idx >= greatest(1, (select i from s) - 23)")
+@query(f"{WITH}, s as (select min(idx) as i from cal where trade_date >= date '1998-06-15') select trade_date, code, round(ln(price), 8) + 0.0 as log_price from panel where idx >= greatest(1, (select i from s) - 23)")
 def warm_up_slice(spark, sf):
     p = t.monthly_panel(spark, sf)
-    return neat(panel.warm_up(p, panel.calendar(p), "1998-06-15", 24), KEY, ["price"])
+    return panel.warm_up(p, panel.calendar(p), "1998-06-15", 24).select(*KEY, log_price())
 
 
 @query(f"{WITH}, {sql._filled()} select trade_date, code, round(fx, 6) + 0.0 as fx from filled")
@@ -436,9 +442,9 @@ def rolling_attribution(spark, sf):
     return neat(_attributed(spark, sf)[0], ["fund_id", "trade_date", "component", "detail"], ["value"])
 
 
-@query(f"{WITH}, n as (select industry as fund_id, trade_date from panel where price is not null group by 1, 2) select fund_id, 0.0::double as max_error, count(*) - 24 as n_days from n group by 1")
+@query(f"{WITH}, n as (select industry as fund_id, trade_date from panel where price is not null group by 1, 2) select distinct fund_id, 0.0::double as max_error from n")
 def attribution_identity(spark, sf):
-    return neat(attribution.identity_error(*_attributed(spark, sf)), ["fund_id", "n_days"], ["max_error"])
+    return neat(attribution.identity_error(*_attributed(spark, sf)), ["fund_id"], ["max_error"])
 
 
 @query()
@@ -453,7 +459,7 @@ def _industry_returns(spark, sf) -> DataFrame:
     return model.factor_returns_native(t.monthly_panel(spark, sf), [])
 
 
-@query(f"{_IND} select trade_date, factor, round(exp(sum(ln(1 + value)) over (partition by factor order by trade_date)) - 1, 6) + 0.0 as cumulative from f")
+@query(f"{_IND} select trade_date, factor, round(product(1 + value) over (partition by factor order by trade_date) - 1, 6) + 0.0 as cumulative from f")
 def cumulative_return(spark, sf):
     return neat(summaries.cumulative(_industry_returns(spark, sf)), ["trade_date", "factor"], ["cumulative"])
 
@@ -473,7 +479,7 @@ def rolling_vol(spark, sf):
     return neat(summaries.rolling_volatility(_industry_returns(spark, sf), 12), ["trade_date", "factor"], ["volatility"])
 
 
-@query(f"{_IND}, s as (select factor, count(*) as n, exp(sum(ln(1 + value))) - 1 as c, stddev_samp(value) * sqrt(12.0) as v from f group by 1), a as (select *, pow(1 + c, 12.0 / n) - 1 as a from s) select factor, n, round(c, 6) + 0.0 as cumulative, round(a, 6) + 0.0 as annualised, round(v, 6) + 0.0 as volatility, round(a / nullif(v, 0), 6) + 0.0 as sharpe from a")
+@query(f"{_IND}, s as (select factor, count(*) as n, product(1 + value) - 1 as c, stddev_samp(value) * sqrt(12.0) as v from f group by 1), a as (select *, case when c > -1 then pow(1 + c, 12.0 / n) - 1 end as a from s) select factor, n, round(c, 6) + 0.0 as cumulative, round(a, 6) + 0.0 as annualised, round(v, 6) + 0.0 as volatility, round(a / nullif(v, 0), 6) + 0.0 as sharpe from a")
 def factor_summary(spark, sf):
     return neat(summaries.summary(_industry_returns(spark, sf), per_year=12), ["factor", "n"], ["cumulative", "annualised", "volatility", "sharpe"])
 
