@@ -31,6 +31,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").groupBy(month("l_shipdate").alias("trade_date"), F.col("l_suppkey").cast("string").alias("code")).agg(
         F.sum(gross).alias("market_cap"), F.sum(gross * (1 - F.col("l_discount"))).alias("float_cap"), F.sum("l_quantity").alias("quantity"),
         flag("R").alias("liabilities"), flag("N").alias("equity"), flag("A").alias("ncl"), F.avg("l_tax").alias("tax"), F.avg("l_discount").alias("discount"),
+        F.count("l_discount").alias("trades"),
     )
 
 
@@ -49,9 +50,12 @@ def monthly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pcf": ratio(cap, F.col("ncl")), "ep_ttm": F.col("tax"), "eps_ftm": F.col("tax"), "np_growth_t3": F.col("tax") * 100, "np_growth_ftm": F.col("discount") * 100,
     })
     p = p.withColumn("ret", simple_return("price", history()))
-    rt = p.groupBy("trade_date").agg(ratio(F.sum(net * F.col("ret")), F.sum(F.when(F.col("ret").isNotNull(), net))).alias("rt"))
-    series = rates(spark, sf_dir).join(rt, "trade_date")
-    return p.join(F.broadcast(series), "trade_date")
+    # The rate and the benchmark come off the panel by one window over dates: the trades are read once.
+    day = Window.partitionBy("trade_date")
+    return p.withColumns({
+        "rf": ratio(F.sum(F.col("discount") * F.col("trades")).over(day), F.sum("trades").over(day)),
+        "rt": ratio(F.sum(net * F.col("ret")).over(day), F.sum(F.when(F.col("ret").isNotNull(), net)).over(day)),
+    })
 
 
 def annual_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
