@@ -518,8 +518,8 @@ def losing_streak(spark, sf):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly constrained factor returns on all ten styles."""
-    return factor_return_full(spark, sf_dir)
+    """Monthly constrained factor returns on industries and size.  (The smallest tables have too few securities for all ten styles.)"""
+    return factor_return_style1(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:

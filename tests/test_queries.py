@@ -23,7 +23,8 @@ def test_entry(spark):
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(registry.queries()) <= set(entry.queries())
-    assert entry.entry(spark).columns == ["trade_date", "factor_group", "factor", "value"]
+    flagship = entry.entry(spark)
+    assert flagship.columns == ["trade_date", "factor_group", "factor", "value"] and flagship.count() > 0
 
 
 def test_no_session_needed_to_import():
