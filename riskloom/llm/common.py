@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,3 +101,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Bound what a Python worker holds at once: texts may be long, so Arrow batches are kept short."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def give_back() -> None:
+    """Hand memory that a Python worker has freed back to the system: workers live on and share an executor's limit."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import read, small_batches
+from riskloom.llm.common import give_back, read, small_batches
 
 DIMENSIONS = 8192  # a power of two
 FIT_ROWS, CENTROIDS, ROUNDS, SLACK = 2000, 6, 12, 0.9
@@ -158,6 +158,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         for b in batches:
             label, score, accepted = sent.value.predict(b.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(label, pa.string()), pa.array(score), pa.array(accepted)], names=[*b.schema.names, "lang_pred", "score", "accepted"])
+        give_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", lang_pred string, score double, accepted boolean"
     return docs.select(*[f"`{f.name}`" for f in fields]).mapInArrow(run, schema)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.byte_bpe import encoder
-from riskloom.llm.common import read, small_batches
+from riskloom.llm.common import give_back, read, small_batches
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 CAPACITY, END_ID, PIECE, BATCH = 2048, 1, 512, 1024
@@ -157,6 +157,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
                 yield rows(out)
         if waiting:
             yield rows(dealt())
+        give_back()
 
     taken = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return taken.mapInArrow(run, f"doc_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import components, join_unique, read, small_batches, stage
+from riskloom.llm.common import components, give_back, join_unique, read, small_batches, stage
 
 WORDS, DISTANCE, SEED, BITS = 3, 3, 42, 64
 #: Fingerprints whose bits and histograms guide the partitions; the choice changes the cost, never the result.
@@ -62,6 +62,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for b in batches:
             fps = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=["id", "fp"])
+        give_back()
 
     return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, f"id {kind}, fp long")
 
@@ -229,6 +230,8 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
                     held, size = [(keys[whole:], fps[whole:])], len(keys) - whole
         if size:
             yield done(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        held.clear()
+        give_back()
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
     edges = stage(rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long"), "links")

@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import read, shared_dir, small_batches
+from riskloom.llm.common import give_back, read, shared_dir, small_batches
 from riskloom.llm.induced_sort import sort_suffixes
 
 LENGTH, GRAM = 50, 24
 #: Text bytes of a bucket that are aimed at, of a batch of documents that is hashed at once, and of a suffix sort.
-BUCKET_BYTES, HASH_BYTES, SORT_BYTES = 6 << 20, 1 << 17, 1 << 20
+BUCKET_BYTES, HASH_BYTES, SORT_BYTES = 3 << 20, 1 << 17, 1 << 19
 #: Text bytes whose minimizers a task compares at once (some million), and the leading bits of them that are compared.
 RANGE_BYTES, KEY_BITS = 16 << 20, 48
 NO_ID = np.iinfo(np.int64).max
@@ -172,6 +172,7 @@ def intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
     def send(df: pd.DataFrame) -> pd.DataFrame:
         """A bucket's minimizers, each once, packed by ranges of them."""
+        give_back()
         found = [x[3] >> np.uint64(64 - KEY_BITS) for x in hashed(df["text"].tolist(), length, gram)]
         keys = distinct(np.concatenate(found)) if found else np.zeros(0, dtype=np.uint64)
         edge = np.searchsorted(keys, [np.uint64((r << KEY_BITS) // ranges) for r in range(ranges)]).tolist() + [len(keys)]
@@ -180,6 +181,7 @@ def intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
     def meet(df: pd.DataFrame) -> pd.DataFrame:
         """Those minimizers of each bucket that another bucket has, too."""
+        give_back()
         lists = [unpacked(x) for x in df["keys"]]
         key, bucket = np.concatenate(lists), np.repeat(df["bucket"].to_numpy(), [len(x) for x in lists])
         order = np.argsort(key, kind="stable")
@@ -198,6 +200,7 @@ def intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
     def extract(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         """Rows (key, text, row, id, starts) for the shards; with a null text: finished intervals (row, starts, ends)."""
+        give_back()
         names = ["key", "text", "row", "id", "starts", "ends"]
         if not len(texts):
             return pd.DataFrame([], columns=names)
@@ -287,6 +290,7 @@ def intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
         def solve() -> list[tuple]:
             """Intervals of all that waits, from one suffix sort."""
+            give_back()
             out = []
             edge = np.cumsum(np.array([0, *(len(t) for _, t, _ in waiting)]))
             keep = related(np.frombuffer(b"".join([t for _, t, _ in waiting]), dtype=np.uint8), edge, np.array([k for k, _, _ in waiting], dtype=np.int64).view(np.uint64))
@@ -367,6 +371,7 @@ def cut_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **o
     spans = lay.with_bucket(spans)
 
     def cut(rows: pa.Table, found: pa.Table) -> pa.Table:
+        give_back()
         by: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for row, b, e in zip(*(found[c].to_pylist() for c in ("row", "begins", "ends")), strict=True):
             by.setdefault(row, []).append((np.frombuffer(b, dtype="<i8"), np.frombuffer(e, dtype="<i8")))
