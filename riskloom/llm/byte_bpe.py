@@ -40,6 +40,17 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def load_added(path: str) -> dict[str, int]:
+    """Added tokens of a ``tokenizers`` JSON file with their ids; a rank file has none."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens", [])
+    if any(x[k] for x in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens are only matched as they stand")
+    return {x["content"]: x["id"] for x in added}
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     """Ranks from a rank file or from a ``tokenizers`` JSON file of a byte-level BPE, without added tokens."""
     if path.endswith(".json"):
@@ -65,6 +76,9 @@ class Encoder:
         self.bytes_of: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for k, v in ranks.items():
             self.bytes_of[v] = k
+        self.added = load_added(path)
+        # Of those that start at the same place the longest matches.
+        self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as bytes.  White spaces stand alone if they number one less than the words between them."""
@@ -72,6 +86,13 @@ class Encoder:
         alone = len(text) - sum(map(len, words)) == len(words) - 1
         return np.array((self.plain if alone else self.exact).encode_ordinary(text), dtype="<u4").tobytes()
 
+    def encode_added(self, text: str) -> bytes:
+        """Ids of a text in which the strings of added tokens are these tokens."""
+        if self.split is None or not any(x in text for x in self.added):
+            return self.encode(text)
+        parts = self.split.split(text)
+        return b"".join([np.array([self.added[p]], dtype="<u4").tobytes() if i % 2 else self.encode(p) for i, p in enumerate(parts)])
+
     def borders(self, text: str) -> list[int]:
         """Ends of the pre-tokens of a text read from its start."""
         return [m.end() for m in self.pattern.finditer(text)]

@@ -6,7 +6,7 @@ with one filled slot, and the two partitions of the largest imbalance (fullest s
 and again, fullest slots against emptiest ones, until one partition is left.  k starts at the least number that can
 hold the tokens and rises whenever the fullest window exceeds the capacity.  Nothing is shuffled, and a task holds one batch.
 
-Defined cases: a null or empty text gives its end id alone; repeated rows and null ids are packed like any other; an
+Defined cases: a null or empty text gives its end id alone; strings of the vocabulary's added tokens become those tokens; repeated rows and null ids are packed like any other; an
 empty table gives no rows; other columns don't matter.
 """
 
@@ -139,7 +139,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         for b in batches:
             id_type, out = b.schema.field(0).type, []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = enc.encode(text) + end
+                ids = enc.encode_added(text) + end
                 n = len(ids) // 4
                 for start, length in cuts(n, capacity, piece):
                     own = ids[4 * start : 4 * (start + length)]
