@@ -3,8 +3,11 @@
 A text is its vector of hashed byte trigrams (lower case, whatever isn't a letter taken as one space), weighted by log(1 + tf) * idf and of length
 one.  Document frequencies are counted over all training documents.  Spherical k-means on a bounded sample of them (at
 most ``fit_rows`` rows, dealt to the languages evenly by a hash of the id) gives each language a few centroids.  A text gets the language of the
-centroid of greatest cosine, and is rejected where its distance 1 - cosine exceeds that language's radius: the greatest
-distance of its training sample, widened by the share ``slack`` of what is left up to 1.
+centroid of greatest cosine, and is rejected where its distance 1 - cosine exceeds the radius: the quantile ``share`` of the
+distances that the first ``CUT`` characters of the sample's texts have to their own language.  Short cuts are farther off than whole texts, so clean
+texts stay however short they are, while words of other languages, farther still, go at any length.  Noise meets more trigrams the
+longer it is, so a text of ``RICH`` different trigrams and more has a radius of its own: the same quantile of the sample's whole texts that
+are as rich, and half of what is left up to 1.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and rejected; no labelled training rows
 make every text ``und``; a null label doesn't train; repeated rows and null ids are predicted each (a null id isn't
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import give_back, read, small_batches
 
 DIMENSIONS = 8192  # a power of two
-FIT_ROWS, CENTROIDS, ROUNDS, SLACK = 2000, 6, 12, 0.9
+FIT_ROWS, CENTROIDS, ROUNDS, CUT, SHARE, RICH = 2000, 6, 12, 12, 0.99, 256
 UNDETERMINED = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -62,15 +65,17 @@ class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
     radius: np.ndarray  # the greatest accepted distance
+    rich_radius: float = 1.0  # the same for texts of many different trigrams
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         label, score, accepted = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
         at = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
         if at and len(self.languages):
-            cosine = vectors([texts[i] for i in at], self.idf) @ self.centroids.T
+            x = vectors([texts[i] for i in at], self.idf)
+            cosine, rich = x @ self.centroids.T, np.count_nonzero(x, axis=1) >= RICH
             best = cosine.argmax(axis=1)
             score[at] = np.clip(cosine[np.arange(len(at)), best], 0, 1)
-            accepted[at] = 1 - score[at] <= self.radius[best]
+            accepted[at] = 1 - score[at] <= np.where(rich, self.rich_radius, self.radius[best])
             for i, b in zip(at, best, strict=True):
                 label[i] = self.languages[b]
         return label, score, accepted
@@ -108,7 +113,7 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
     return total
 
 
-def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS, k: int = CENTROIDS, slack: float = SLACK) -> Model:
+def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS, k: int = CENTROIDS, share: float = SHARE) -> Model:
     """Learn from the rows of ``train`` that have a text with a label and an id."""
     spark = train.sparkSession
     small_batches(spark)
@@ -127,23 +132,27 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
-            yield pd.DataFrame({"lang": df["lang"], "v": [x.astype("<f2").tobytes() for x in vectors(df["text"].tolist(), idf)]})
+            yield pd.DataFrame({"lang": df["lang"], "start": df["text"].str[:CUT], "v": [x.astype("<f2").tobytes() for x in vectors(df["text"].tolist(), idf)]})
 
-    sample = picked.select("lang", "text").mapInPandas(run, "lang string, v binary").collect()
-    sample.sort(key=lambda r: (r["lang"], bytes(r["v"])))
-    owner, centroids, radius = [], [], []
+    sample = picked.select("lang", "text").mapInPandas(run, "lang string, start string, v binary").collect()
+    sample.sort(key=lambda r: (r["lang"], bytes(r["v"]), r["start"]))
+    owner, centroids, short, long = [], [], [], []
     for lang in langs:
         x = np.array([np.frombuffer(r["v"], dtype="<f2") for r in sample if r["lang"] == lang], dtype=np.float32).reshape(-1, DIMENSIONS)
         x = x[np.abs(x).sum(axis=1) > 0]
         if not len(x):
             continue
         c = spherical_kmeans(x, k, ROUNDS)
-        cosine = x @ c.T
-        far = float((1 - cosine.max(axis=1)).max())
-        radius += [far + slack * (1 - far)] * len(c)
+        rich = np.count_nonzero(x, axis=1) >= RICH
+        long.append(1 - (x[rich] @ c.T).max(axis=1))
+        starts = vectors([r["start"] for r in sample if r["lang"] == lang], idf)
+        short.append(1 - (starts[np.abs(starts).sum(axis=1) > 0] @ c.T).max(axis=1))
         owner += [lang] * len(c)
         centroids.append(c)
-    return Model(idf, owner, np.concatenate(centroids) if centroids else np.zeros((0, DIMENSIONS), np.float32), np.array(radius))
+    far, far_rich = (np.concatenate(d) if d else np.zeros(0) for d in (short, long))
+    radius = float(np.quantile(far, share)) if len(far) else 1.0
+    rich_radius = (1 + float(np.quantile(far_rich, share))) / 2 if len(far_rich) else radius
+    return Model(idf, owner, np.concatenate(centroids) if centroids else np.zeros((0, DIMENSIONS), np.float32), np.full(len(owner), radius), rich_radius)
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
