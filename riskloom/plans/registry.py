@@ -128,6 +128,14 @@ def long_to_wide(spark, sf):
     return w.select("trade_date", *[rounded(F.col(c), 2).alias(f"s{c}") for c in ("1", "2", "3")])
 
 
+@query()
+def long_to_wide_industries(spark, sf):
+    """Market cap of all industries, a column each, which the table names: SQL would need their list."""
+    p = t.monthly_panel(spark, sf).where(F.col("industry").isNotNull()).groupBy("trade_date", F.col("industry").alias("code")).agg(F.sum("market_cap").alias("market_cap"))
+    w = panel.to_wide(p, "market_cap")
+    return w.select("trade_date", *[rounded(F.col(f"`{c}`"), 2).alias(c) for c in w.columns[1:]])
+
+
 @query(f"{WITH} select trade_date, code, measure, round(value, 5) + 0.0 as value from (unpivot (select trade_date, code, market_cap, float_cap, liabilities from panel) on market_cap, float_cap, liabilities into name measure value value)")
 def wide_to_long(spark, sf):
     p = t.monthly_panel(spark, sf).select(*KEY, "market_cap", "float_cap", "liabilities")
