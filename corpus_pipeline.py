@@ -1,4 +1,4 @@
-"""Corpus pipeline: language ID, exact dedup, SimHash near-dedup, near-dedup by shingle similarity, suffix-array dedup, packing.
+"""Corpus pipeline: language ID, exact dedup, SimHash near-dedup, suffix-array dedup, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept.  All but the last return the
 columns of ``documents``; the last returns the pieces of the packed sequences.
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import exact_dedup, language_id, packing, similar_dedup, simhash_dedup, suffix_dedup
+from riskloom.llm import exact_dedup, language_id, packing, similar_dedup, suffix_dedup
 from riskloom.llm.common import read, stage
 
 
@@ -24,12 +24,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays: that of the smallest id."""
-    return simhash_dedup.near_dedup(docs)
-
-
-def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of documents of similarity 0.8 and more stays: that of the smallest id."""
+    """One document of each group of near copies stays, that of the smallest id: SimHash's candidates, completed by an index and
+    verified, link what has a similarity of 0.8 and more in shingles of five words."""
     return similar_dedup.near_dedup(docs)
 
 
@@ -47,7 +43,6 @@ STAGES = [
     ("language_id", keep_languages),
     ("exact_dedup", drop_copies),
     ("simhash_dedup", drop_near_copies),
-    ("similar_dedup", drop_similar),
     ("suffix_dedup", cut_passages),
     ("packing", pack),
 ]

@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import read, small_batches
+from riskloom.llm.common import read, slices
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Characters of a chunk and of its overlap with the next one, and the length from which a text is cut into chunks.
@@ -134,14 +134,13 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     """``(id_col, ids array<int>)``, a row for each row of ``docs``."""
     if not 0 < overlap <= chunk <= long_chars:
         raise ValueError((overlap, chunk, long_chars))
-    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = f"id {kind}, ids array<int>"
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for batch in batches:
+        for batch in slices(batches):
             parts = [enc.encode(t) for t in batch.column(1).to_pylist()]
             ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype("int32")
             flat = np.frombuffer(b"".join(parts), dtype="<i4")
@@ -171,13 +170,12 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
 
 def decode(encoded: DataFrame, ids_col: str = "ids", path: str = RANKS) -> DataFrame:
     """``encoded`` with a binary column ``decoded`` at the end: the bytes of the ids, concatenated."""
-    small_batches(encoded.sparkSession)
     fields = [f for f in encoded.schema.fields if f.name != "decoded"]
     at = [f.name for f in fields].index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for batch in batches:
+        for batch in slices(batches):
             out = [None if x is None else enc.decode(x.values.to_numpy(zero_copy_only=False)) for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import ctypes
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,10 +24,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the cluster's ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a temporary folder is made and put into the session.
+    Only where all runs in one process (``local`` masters, as in tests) and the setting is absent, a temporary folder is made and
+    put into the session; a cluster without the setting is an error, for no executor sees another's folders.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir isn't set; {master} needs a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="riskloom-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -77,6 +83,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     now = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = stage(now, "edges")
+    mark = lambda df: df.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
+    same = mark(now)
+    if not same[0]:
+        return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
@@ -87,20 +97,46 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         after = stage(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
         # settled once every edge leads from a node to its root: the same edges come out again
-        same = now.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-        new = after.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
+        new = mark(after)
         unstage(now)
         now = after
         if same == new:
             break
+        same = new
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bound what a Python worker holds at once: texts may be long, so Arrow batches are kept short."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows: Spark bounds a batch by its bytes, and this what Python makes of it at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+def spare_name(docs: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores in front until no column of ``docs`` has the name."""
+    taken = {c.lower() for c in docs.columns}
+    while wanted.lower() in taken:
+        wanted = "_" + wanted
+    return wanted
+
+
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` staged with a number for each row, and the number's column: rows that repeat an id, or have none, stay apart."""
+    row = spare_name(docs, "row_no")
+    return stage(docs.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
+#: Row numbers that are broadcast to be left out; more go through a shuffle of the rows.
+LEFT_OUT = 2_000_000
+
+
+def without(rows: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    """``rows`` less those whose number is in ``gone(row)`` (staged, each number once); texts move only where ``gone`` is large."""
+    few = gone.count() <= LEFT_OUT
+    return rows.join(F.broadcast(gone) if few else gone.hint("merge"), row, "left_anti")
 
 
 def give_back() -> None:

@@ -1,13 +1,14 @@
 """Exact dedup: two-pass Bloom filtering on text hashes, DataFrame functions only.
 
-Pass one marks, in a filter of fixed size, the cells that hashes fall into and keeps the cells hit more than once.
-Pass two tests every row against those cells: a row that misses one of them is surely alone and passes straight
-through, and only the rest, possibly repeated, are shuffled to be grouped.  A false positive costs a row's way through
-the shuffle and never changes the result.
+Every row has a short hash: a word of the filter and two bits in it.  Pass one counts the short hashes, combined map-side, and
+puts those that occur more than once into the Bloom filter.  Pass two tests every row against the filter by broadcast: a row that misses
+is surely alone and passes straight through, and only the rest, possibly repeated, are shuffled to be grouped by the
+whole hash.  A false positive costs a row's way through the shuffle and never changes the result.  The filter's words are
+broadcast in ranges of bounded size, one after the other, so the method is the same at any number of rows.
 
 Defined cases: a null text counts as empty; a null id is allowed and loses ties; of equal texts the row with the most
-code points stays, then the smallest id; rows that repeat an id are told apart by a row number, so one of them stays;
-an empty table gives no rows; other columns may have any names.
+code points stays, then the smallest id; rows that repeat an id are told apart by a row number, so exactly one row of each
+group stays; an empty table gives no rows; other columns may have any names.
 """
 
 from __future__ import annotations
@@ -15,12 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import join_unique, read, stage
+from riskloom.llm.common import join_unique, numbered, read, stage, without
 
 WHITE = " \t\n\x0b\x0c\r"
-#: Filter cells per row, and the most cells at all: a filter of MAX_CELLS bits is at most MAX_CELLS / 32 rows of a word
-#: each.  Beyond MAX_CELLS / CELLS_PER_ROW rows the filter is left out and all (narrow) rows are grouped.
-CELLS_PER_ROW, MAX_CELLS, HASHES, WORD = 16, 1 << 26, 2, 32
+#: Filter bits per row, bits of a word, and the most words with a bit set that are broadcast at once (16 bytes each).
+BITS_PER_ROW, WORD, BROADCAST_WORDS = 16, 64, 1 << 20
 
 
 def normal_text(text: Column) -> Column:
@@ -28,52 +28,55 @@ def normal_text(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), WHITE, "")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """``(id, sha, size, row_no)`` for every row, staged: the text is read once."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return stage(
         docs.select(
             F.col(id_col).alias("id"), F.sha2(normal_text(F.col(text_col)).cast("binary"), 256).alias("sha"),
-            F.length(text).cast("long").alias("size"), F.monotonically_increasing_id().alias("row_no"),
+            F.length(text).cast("long").alias("size"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row_no"),
         ),
         "fingerprints",
     )
 
 
-def repeated_cells(rows: DataFrame, cells: int) -> DataFrame:
-    """Pass one: ``(word, bits)`` of the filter's cells that more than one row falls into."""
-    hit = rows.select(F.explode(F.array(*[cell(k, cells) for k in range(HASHES)])).alias("cell"))
-    return (
-        hit.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-        .groupBy(F.expr(f"cell div {WORD}").alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, cast(cell % {WORD} as int)))").alias("bits"))
-    )
+def short_hash(words: int) -> tuple[Column, Column]:
+    """A row's word of the filter, and the two bits (which may be one) that it has there."""
+    at = F.xxhash64(F.lit(1), "sha")
+    bits = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(2, sha), {WORD}) as int)) | shiftleft(1L, cast(pmod(xxhash64(3, sha), {WORD}) as int))")
+    return F.pmod(at, F.lit(words)), bits
 
 
-def cell(k: int, cells: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(k), "sha"), F.lit(cells))
+def repeated(rows: DataFrame, words: int) -> DataFrame:
+    """Pass one: the filter ``(word, filter)`` of the short hashes that more than one row has."""
+    word, bits = short_hash(words)
+    often = rows.select(word.alias("word"), bits.alias("bits")).groupBy("word", "bits").agg(F.count("*").alias("n")).where("n > 1")
+    return often.groupBy("word").agg(F.bit_or("bits").alias("filter"))
 
 
-def possibly_repeated(rows: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+def possibly_repeated(rows: DataFrame, total: int, most: int = BROADCAST_WORDS) -> tuple[DataFrame, DataFrame]:
     """Pass two: the rows that are surely alone, and the others."""
-    wanted = 1 << max(16, (total * CELLS_PER_ROW - 1).bit_length())
-    if wanted > MAX_CELLS:
-        return rows.limit(0), rows
-    words = repeated_cells(rows, wanted)
-    tested = rows
-    for k in range(HASHES):
-        at = cell(k, wanted)
-        side = F.broadcast(words.select(F.col("word").alias(f"__w{k}"), F.col("bits").alias(f"__b{k}")))
-        tested = tested.withColumn(f"__c{k}", at).join(side, F.expr(f"__c{k} div {WORD} = __w{k}"), "left")
-    maybe = F.lit(True)
-    for k in range(HASHES):
-        maybe = maybe & F.coalesce(F.expr(f"shiftright(__b{k}, cast(__c{k} % {WORD} as int)) & 1L"), F.lit(0)).eqNullSafe(1)
-    tested = stage(tested.select(*rows.columns, maybe.alias("maybe")), "tested")
+    words = max(64, total * BITS_PER_ROW // WORD)
+    filled = stage(repeated(rows, words), "filter")
+    ranges = max(1, -(-filled.count() // most))
+    word, bits = short_hash(words)
+    hashed = rows.withColumns({"word": word, "bits": bits})
+    parts = []
+    for i in range(ranges):
+        # Words are hashes, so a range of them holds its share.
+        here = F.col("word").between(words * i // ranges, words * (i + 1) // ranges - 1)
+        tested = hashed.where(here).join(F.broadcast(filled.where(here)), "word", "left")
+        maybe = F.coalesce(F.col("filter").bitwiseAND(F.col("bits")) == F.col("bits"), F.lit(False))
+        parts.append(stage(tested.select(*rows.columns, maybe.alias("maybe")), "tested"))
+    tested = parts[0]
+    for p in parts[1:]:
+        tested = tested.unionByName(p)
     return tested.where("not maybe").drop("maybe"), tested.where("maybe").drop("maybe")
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row's ``(id, row_no, sha, keep_id, keep_row, group_size)``."""
-    rows = fingerprints(docs, id_col, text_col)
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """Every row's ``(id, row_no, sha, keep_id, keep_row, group_size)``; ``row_col`` numbers the rows, if they have numbers."""
+    rows = fingerprints(docs, id_col, text_col, row_col)
     total = rows.count()
     alone, others = possibly_repeated(rows, total)
     best = F.min(F.struct(-F.col("size"), F.col("id").isNull(), F.col("id"), F.col("row_no")))
@@ -88,24 +91,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text repeats another's; columns are kept as they are."""
-    gone = groups(docs, id_col, text_col).where("row_no <> keep_row")
-    # Per id: how many of its rows go.  Ids that lose all their rows leave by an anti join.
-    per_id = docs.groupBy(F.col(id_col).alias("__id")).agg(F.count("*").alias("__rows"))
-    lost = gone.groupBy(F.col("id").alias("__id")).agg(F.count("*").alias("__lost"))
-    counted = stage(lost.join(per_id, lost["__id"].eqNullSafe(per_id["__id"])).select(lost["__id"], "__rows", "__lost"), "lost")
-    whole = counted.where("__rows = __lost").select("__id")
-    rest = docs.join(whole, docs[id_col].eqNullSafe(whole["__id"]), "left_anti")
-    if not counted.where("__rows > __lost").head(1):
-        return rest
-    # Rows that repeat an id and stay in part: one row for each text stays.
-    partly = counted.where("__rows > __lost").select(F.col("__id"))
-    single = rest.join(partly, rest[id_col].eqNullSafe(partly["__id"]), "left_anti")
-    double = rest.join(partly, rest[id_col].eqNullSafe(partly["__id"]), "left_semi")
-    keep = groups(docs, id_col, text_col).where("row_no = keep_row").select(F.col("id").alias("__id"), F.col("sha").alias("__sha"))
-    sha = F.sha2(normal_text(F.col(text_col)).cast("binary"), 256)
-    double = double.withColumn("__s", sha).dropDuplicates([id_col, "__s"])
-    double = double.join(keep, double[id_col].eqNullSafe(keep["__id"]) & (double["__s"] == keep["__sha"]), "left_semi").drop("__s")
-    return single.unionByName(double)
+    rows, row = numbered(docs, "exact")
+    gone = groups(rows, id_col, text_col, row).where("row_no <> keep_row").select(F.col("row_no").alias(row))
+    return without(rows, row, stage(gone, "gone")).select(*[f"`{c}`" for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import give_back, read, small_batches
+from riskloom.llm.common import give_back, read, slices
 
 DIMENSIONS = 8192  # a power of two
 FIT_ROWS, CENTROIDS, ROUNDS, CUT, SHARE, RICH = 2000, 6, 12, 12, 0.99, 256
@@ -100,7 +100,7 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(DIMENSIONS + 1, dtype=np.int64)
-        for b in batches:
+        for b in slices(batches):
             for t in b.column(0).to_pylist():
                 seen[:-1] += counts(t) > 0
                 seen[-1] += 1
@@ -116,7 +116,6 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
 def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS, k: int = CENTROIDS, share: float = SHARE) -> Model:
     """Learn from the rows of ``train`` that have a text with a label and an id."""
     spark = train.sparkSession
-    small_batches(spark)
     rows = train.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     seen = document_frequencies(rows.select("text"))
     idf = (np.log((1 + seen[-1]) / (1 + seen[:-1])) + 1).astype(np.float32)
@@ -158,13 +157,12 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``accepted`` (columns of those names are replaced)."""
     spark = docs.sparkSession
-    small_batches(spark)
     sent = spark.sparkContext.broadcast(model)
     fields = [f for f in docs.schema.fields if f.name.lower() not in ("lang_pred", "score", "accepted")]
     at = [f.name for f in fields].index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             label, score, accepted = sent.value.predict(b.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(label, pa.string()), pa.array(score), pa.array(accepted)], names=[*b.schema.names, "lang_pred", "score", "accepted"])
         give_back()

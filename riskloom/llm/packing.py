@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.byte_bpe import encoder
-from riskloom.llm.common import give_back, read, small_batches
+from riskloom.llm.common import give_back, read, slices
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 CAPACITY, END_ID, PIECE, BATCH = 2048, 1, 512, 1024
@@ -108,7 +108,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     """
     if not 0 < piece <= capacity:
         raise ValueError((piece, capacity))
-    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -136,7 +135,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
             waiting.clear()
             return out
 
-        for b in batches:
+        for b in slices(batches):
             id_type, out = b.schema.field(0).type, []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = enc.encode_added(text) + end

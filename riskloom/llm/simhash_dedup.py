@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import components, give_back, join_unique, read, small_batches, stage
+from riskloom.llm.common import components, give_back, join_unique, read, slices, stage
 
 WORDS, DISTANCE, SEED, BITS = 3, 3, 42, 64
 #: Fingerprints whose bits and histograms guide the partitions; the choice changes the cost, never the result.
@@ -46,20 +46,24 @@ def fingerprint(text: str, words: int = WORDS) -> int:
     else:
         digest, join = xxhash.xxh64_intdigest, b" ".join
         hashes = [digest(join(s), SEED) for s in zip(*[data[i:] for i in range(words)])]  # noqa: B905
+    return majority(np.array(hashes, dtype=np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The number whose bits are those that over half of the hashes have; of no hashes zero."""
     counts, n = np.zeros(BITS, dtype=np.int64), len(hashes)
     for i in range(0, n, 1 << 15):
-        some = np.array(hashes[i : i + (1 << 15)], dtype=">u8")
+        some = hashes[i : i + (1 << 15)].astype(">u8")
         counts += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """``(id, fp)`` for each row, the fingerprint as a signed long."""
-    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fps = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=["id", "fp"])
         give_back()
@@ -182,7 +186,6 @@ def forest(keys: np.ndarray, fps: np.ndarray, distance: int) -> tuple[np.ndarray
 
 def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``(a, b)`` edges of a forest over the distinct fingerprints ``fp`` that links all within the distance."""
-    spark = distinct.sparkSession
     total = distinct.count()
     if not total:
         return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
@@ -209,7 +212,6 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
         pairs = F.expr("transform(sequence(0, blocks - 1), o -> xxhash64(key, least(o, mine), greatest(o, mine)))")
         alone = met.where("blocks is null").select("key", "fp")
         rows = alone.unionByName(met.where("blocks is not null").withColumn("mine", mine).select(F.explode(pairs).alias("key"), "fp"))
-    small_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -233,10 +235,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
         held.clear()
         give_back()
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    edges = stage(rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long"), "links")
-    small_batches(spark)
-    return edges
+    return stage(rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long"), "links")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
@@ -252,12 +251,6 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     return join_unique(rows, lookup, "fp", F.col("n"), total).drop("n")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
-    """``docs`` with one document of each class: that of the smallest id (and null ids of classes without another)."""
-    gone = classes(docs, id_col, text_col, words, distance).where(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["__gone"]), "left_anti")
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(read(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 

@@ -1,16 +1,20 @@
-"""Near-duplicates by true similarity: all pairs of documents whose sets of five-word shingles have Jaccard 0.8 or more.
+"""Near-duplicates by true similarity: components of documents whose sets of five-word shingles have Jaccard 0.8 or more.
 
-Shingles are 64-bit hashes, put into one order for all documents: those that a sample of the documents shows to be common come
-last.  Of n shingles in that order two similar documents share one among the first n - ceil(0.8 n) + 1 of each, so
-only those are sent to the index.  Pairs that meet there and can still be similar by their sizes and by the place
-of what they share are compared by bitmaps, each bit the parity of the shingles that fall on it: sets differ in at least as many shingles
-as bitmaps in bits.  What remains is verified on the whole sets.  The order changes the cost, never the result: no pair is lost.
+SimHash finds the first candidates: fingerprints of the five-word shingles that differ in few bits, by ``simhash_dedup.links``.  Fingerprints
+alone miss most pairs near 0.8 (about ten of 64 bits differ there), so an index completes them.  Shingles are put into
+one order for all documents, those that a sample shows to be common last.  Of n shingles in that order two similar documents
+share one among the first n - ceil(0.8 n) + 1 of each, so only those are sent to the index, and only those that meet another
+stay there.  The order and the sample change the cost, never the result: no link is lost.
 
-Documents with equal sets enter the index once.  A group of n different near copies costs up to n^2 / 2 verified pairs.
+The index is read in rounds: partners next to each other in the order of their sizes, then those a little farther, then all the
+rest.  Only pairs of different components are proposed, so a group of n near copies is connected after about n
+proposals and proposes no more.  A proposal that sizes and places of the shared shingle allow to be similar is checked by bitmaps,
+each bit the parity of the shingles that fall on it (sets differ in at least as many shingles as bitmaps in bits), and then on the
+whole sets.  A shingle of more than BLOCK documents is split into blocks, in the last round each pair of them a unit of work.
 
 Defined cases: words are what white space separates, in lower case; a text of fewer than five words is one shingle; a text without words is
-similar to nothing; repeated rows are similar to each other; null ids take no part in the choice of the id that stays (a component
-of null ids alone stays); an empty table gives no rows; other columns don't matter.
+similar to nothing and stays; equal sets are one; rows that repeat an id are rows of their own, and exactly one row of each component stays,
+that of the smallest id (a null id loses), then the first; an empty table gives no rows; other columns may have any names.
 """
 
 from __future__ import annotations
@@ -23,25 +27,36 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import components, give_back, small_batches, stage
+from riskloom.llm.common import components, give_back, join_unique, numbered, slices, stage, without
+from riskloom.llm.simhash_dedup import DISTANCE, links, majority
 
 WORDS, SEED = 5, 42
 #: Similar: 5 * shared >= 4 * (shingles of either), in whole numbers.
 NUMERATOR, DENOMINATOR = 4, 5
 #: Documents sampled for common shingles, the count that makes one common, and how many are held at most.
 SAMPLE, COMMON, HELD = 16_000, 4, 65_536
-#: Bits of a bitmap.
-BITMAP = 1024
+#: Share of the sampled documents from which a shingle is dealt to several tasks, and their number.
+HOT, SALTS = 1 / 1000, 64
+#: Bits of a bitmap, documents of a shingle that are compared in one task, and the rounds' distances within a shingle.
+BITMAP, BLOCK, ROUNDS = 1024, 8_192, ((1, 2), (2, 16), (16, 1 << 62))
+#: Sets that are looked up by a broadcast of their row numbers; more are looked up by a shuffle.
+LOOKED_UP = 500_000
 
 
-def shingles(text: str, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles."""
+def hashes(text: str, words: int = WORDS) -> np.ndarray:
+    """Hashes of a text's shingles, repeats included."""
     data = text.lower().encode("utf-8", "surrogatepass").split()
     if not data:
-        return np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.uint64)
     digest, join = xxhash.xxh64_intdigest, b" ".join
-    hashes = [digest(join(s), SEED) for s in zip(*[data[i:] for i in range(words)])] if len(data) >= words else [digest(join(data), SEED)]  # noqa: B905
-    return np.unique(np.array(hashes, dtype=np.uint64).view(np.int64))
+    if len(data) < words:
+        return np.array([digest(join(data), SEED)], dtype=np.uint64)
+    return np.array([digest(join(s), SEED) for s in zip(*[data[i:] for i in range(words)])], dtype=np.uint64)  # noqa: B905
+
+
+def shingles(text: str, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles."""
+    return np.unique(hashes(text, words).view(np.int64))
 
 
 def similar(shared, n, m):
@@ -51,7 +66,7 @@ def similar(shared, n, m):
 
 def bitmap(own: np.ndarray) -> bytes:
     """Parities of the numbers of shingles that fall on each bit."""
-    on = np.bincount(own.view(np.uint64) % np.uint64(BITMAP), minlength=BITMAP) if len(own) else np.zeros(BITMAP, dtype=np.int64)
+    on = np.bincount((own.view(np.uint64) % np.uint64(BITMAP)).astype(np.int64), minlength=BITMAP)
     return np.packbits(on & 1).tobytes()
 
 
@@ -68,16 +83,15 @@ def prefix(own: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return own[np.lexsort((own, late))][: n - -(-NUMERATOR * n // DENOMINATOR) + 1]
 
 
-def common_shingles(texts: DataFrame, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are common in a sample of the texts, sorted, and the rank of each by its count."""
+def common_shingles(texts: DataFrame, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Shingles that are common in a sample of the texts, sorted; the rank of each by its count; and those in very many."""
     total = texts.count()
     limit = int(min(1.0, SAMPLE / max(1, total)) * (1 << 30))
     some = texts.where(F.pmod(F.xxhash64("text", F.lit(13)), F.lit(1 << 30)) <= limit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(t, words))], names=["token"])
+        for b in slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *[shingles(t, words) for t in b.column(0).to_pylist()]]))], names=["token"])
         give_back()
 
     counted = some.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
@@ -86,13 +100,73 @@ def common_shingles(texts: DataFrame, words: int = WORDS) -> tuple[np.ndarray, n
     rank = np.empty(len(n), dtype=np.int64)
     rank[np.lexsort((token, n))] = np.arange(len(n))
     order = np.argsort(token)
-    return token[order], rank[order]
+    return token[order], rank[order], token[n >= max(COMMON, HOT * min(SAMPLE, total))].tolist()
 
 
-def met(token: np.ndarray, h: np.ndarray, n: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows of equal token, in order of token and n, that sizes and places allow to be similar."""
-    live, step = np.arange(len(token)), 1
-    while True:
+def signatures(rows: DataFrame, row: str, id_col: str, text_col: str, order, words: int) -> DataFrame:
+    """``(row, id, h, n, fp, tokens)``: a set's name, size and fingerprint, and its shingles for the index."""
+    kind = rows.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, rank = order.value
+        for b in slices(batches):
+            each = [hashes(t, words) for t in b.column(2).to_pylist()]
+            own = [np.unique(x.view(np.int64)) for x in each]
+            fps = np.array([majority(x) for x in each], dtype=np.uint64).view(np.int64)
+            tokens = [prefix(x, common, rank) for x in own]
+            ends = np.cumsum([0] + [len(x) for x in tokens]).astype("int32")
+            flat = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *tokens])))
+            names = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in own], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(names), pa.array([len(x) for x in own], pa.int64()), pa.array(fps), flat], names=["row", "id", "h", "n", "fp", "tokens"])
+        give_back()
+
+    taken = rows.select(F.col(f"`{row}`").alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return taken.mapInArrow(run, f"row long, id {kind}, h long, n long, fp long, tokens array<long>")
+
+
+def shared_index(sets: DataFrame, hot: list[int]) -> DataFrame:
+    """``(token, row, na)`` of the shingles that meet another document, staged; na is the set's size * 2^32 + the shingle's place."""
+    spark = sets.sparkSession
+    na = F.shiftleft("n", 32) + F.col("at")
+    each = sets.select("row", "n", F.posexplode("tokens").alias("at", "token")).select("token", "row", na.alias("na"))
+    # Shingles known to be hot are shared for sure; they are dealt by document as well, and none of their rows is alone.
+    known = spark.createDataFrame([(x, True) for x in hot], "token long, hot boolean")
+    each = each.join(F.broadcast(known), "token", "left")
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("row"), F.lit(SALTS))).otherwise(F.lit(0))
+    dealt = each.select("token", "row", "na", F.coalesce("hot", F.lit(False)).alias("hot"), salt.alias("salt")).repartition("token", "salt").sortWithinPartitions("token")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list = []  # the row that may be alone, so far
+
+        def keep(cols: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols[:3]], names=["token", "row", "na"])
+
+        before, met = None, False
+        for b in batches:
+            cols = [b.column(i).to_numpy() for i in range(3)] + [b.column(3).to_numpy(zero_copy_only=False)]
+            if last:
+                cols = [np.concatenate([x, c]) for x, c in zip(last, cols, strict=True)]
+            token = cols[0]
+            if not len(token):
+                continue
+            same = token[1:] == token[:-1]
+            both = np.append(same, False) | np.append(False, same) | cols[3]
+            # A held row may have met its like in an earlier batch.
+            both[0] |= met and token[0] == before
+            open_ = not both[-1]
+            yield keep([c[both] for c in cols])
+            last = [c[-1:] for c in cols] if open_ else []
+            before, met = token[-1], not open_
+        give_back()
+
+    return stage(dealt.mapInArrow(run, "token long, row long, na long"), "index")
+
+
+def met(token: np.ndarray, row: np.ndarray, na: np.ndarray, comp: np.ndarray, low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of equal token, in order of token and size, ``low`` to ``high`` places apart, of different components, that may be similar."""
+    n, at = na >> 32, na & 0xFFFFFFFF
+    live, step = np.arange(len(token)), low
+    while step < high:
         live = live[live + step < len(token)]
         other = live + step
         # Sizes ascend within a token: once the partner is too large, all further ones are.
@@ -101,23 +175,39 @@ def met(token: np.ndarray, h: np.ndarray, n: np.ndarray, at: np.ndarray) -> Iter
         if not len(live):
             return
         most = np.minimum(n[live] - at[live], n[other] - at[other])
-        ok = similar(most, n[live], n[other]) & (h[live] != h[other])
+        ok = similar(most, n[live], n[other]) & (comp[live] != comp[other])
         if ok.any():
-            a, b = h[live[ok]], h[other[ok]]
+            a, b = row[live[ok]], row[other[ok]]
             yield np.minimum(a, b), np.maximum(a, b)
         step += 1
 
 
-def candidates(index: DataFrame) -> DataFrame:
-    """Distinct pairs ``(a, b)`` of sets that meet in the index ``(token, h, n, at)``."""
-    spark = index.sparkSession
+def proposals(index: DataFrame, found: DataFrame, low: int, high: int) -> DataFrame:
+    """Distinct pairs ``(a, b)`` that the index proposes in a round, ``found`` being the components so far."""
+    index = index.join(found.select(F.col("node").alias("row"), "root"), "row", "left").withColumn("comp", F.coalesce("root", "row")).drop("root")
+    index = stage(index, "placed")
+    total = index.count()
+    # Shingles whose documents are one component already propose nothing.
+    open_ = index.groupBy("token").agg(F.count("*").alias("many"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token", "many")
+    rows = join_unique(index, stage(open_, "open"), "token", F.col("many"), total).where("many is not null")
+    last = high >= ROUNDS[-1][1]
+    blocks, mine = F.expr(f"cast(many div {BLOCK} + 1 as int)"), F.expr("cast(pmod(xxhash64(row), blocks) as int)")
+    # Before the last round the blocks of a shingle go by themselves; in the last every two of them meet, at all distances.
+    keys = F.expr("transform(sequence(0, blocks - 1), o -> xxhash64(token, least(o, mine), greatest(o, mine)))") if last else F.array(F.xxhash64("token", "mine"))
+    split = rows.where(F.col("many") > BLOCK).withColumn("blocks", blocks).withColumn("mine", mine).select(F.explode(keys).alias("key"), "row", "na", "comp")
+    whole = rows.where(F.col("many") <= BLOCK).select(F.col("token").alias("key"), "row", "na", "comp")
+    return stage(paired(whole, low, high).unionByName(paired(split, 1 if last else low, high)).distinct(), "proposed")
+
+
+def paired(rows: DataFrame, low: int, high: int) -> DataFrame:
+    """Pairs ``(a, b)`` of ``rows(key, row, na, comp)`` as ``met`` has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         size = 0
 
         def done(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            for a, b in met(*cols):
+            for a, b in met(*cols, low, high):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
@@ -125,7 +215,7 @@ def candidates(index: DataFrame) -> DataFrame:
             size += batch.num_rows
             if size >= 1 << 17:
                 cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-                whole = int(np.searchsorted(cols[0], cols[0][-1]))  # sorted: the last token may go on
+                whole = int(np.searchsorted(cols[0], cols[0][-1]))  # sorted: the last key may go on
                 held, size = [[c[whole:] for c in cols]], len(cols[0]) - whole
                 if whole:
                     yield from done([c[:whole] for c in cols])
@@ -134,43 +224,42 @@ def candidates(index: DataFrame) -> DataFrame:
         held.clear()
         give_back()
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    pairs = stage(index.repartition("token").sortWithinPartitions("token", "n").mapInArrow(run, "a long, b long").distinct(), "pairs")
-    small_batches(spark)
-    return pairs
+    return rows.repartition("key").sortWithinPartitions("key", "na", "row").mapInArrow(run, "a long, b long")
+
 
+def verified(pairs: DataFrame, rows: DataFrame, row: str, text_col: str, words: int) -> DataFrame:
+    """Those of the pairs ``(a, b)`` of row numbers whose sets are similar, staged."""
+    wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias(row)).distinct(), "wanted")
+    size = wanted.count()
+    if not size:
+        return wanted.select(F.col(row).alias("a"), F.col(row).alias("b"))
+    few = size <= LOOKED_UP
+    text = rows.join(F.broadcast(wanted) if few else wanted, row, "left_semi").select(F.col(f"`{row}`").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
-def links(docs: DataFrame, sets: DataFrame, words: int = WORDS) -> DataFrame:
-    """``(a, b)``: all pairs of different sets that are similar."""
-    small_batches(docs.sparkSession)
-    distinct = sets.where("n > 0").dropDuplicates(["h"])
-    pairs = candidates(distinct.select(F.posexplode("tokens").alias("at", "token"), "h", "n").select("token", "h", "n", F.col("at").cast("long").alias("at")))
-    marks = distinct.select("h", F.struct("n", "bits").alias("mark"))
-    marked = pairs.join(marks.withColumnsRenamed({"h": "a", "mark": "x"}), "a").join(marks.withColumnsRenamed({"h": "b", "mark": "y"}), "b").select("a", "b", "x.n", F.col("y.n").alias("m"), F.col("x.bits").alias("x"), F.col("y.bits").alias("y"))
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            own = [shingles(t, words) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in own], pa.int64()), pa.array([bitmap(x) for x in own], pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())], names=["row", "n", "bits", "own"])
+        give_back()
+
+    whole = stage(text.mapInArrow(sets, "row long, n long, bits binary, own binary"), "whole")
+
+    def both(pairs: DataFrame, *cols: str) -> DataFrame:
+        x, y = (whole.select(F.col("row").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in cols]) for k in ("a", "b"))
+        return pairs.join(x, "a").join(y, "b").select("a", "b", *[f"{c}_{k}" for c in cols for k in ("a", "b")])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 4096):
+            size = b.column(2).to_numpy() + b.column(3).to_numpy()
             x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), dtype=np.uint64).reshape(-1, BITMAP // 64) for i in (4, 5))
-            differ, both = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64), b.column(2).to_numpy() + b.column(3).to_numpy()
+            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
             # Similar sets differ in n + m - 2 * shared shingles at most.
-            ok = (NUMERATOR + DENOMINATOR) * (both - differ) >= 2 * NUMERATOR * both
+            ok = (NUMERATOR + DENOMINATOR) * (size - differ) >= 2 * NUMERATOR * size
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok))
         give_back()
 
-    pairs = stage(marked.mapInArrow(compare, "a long, b long"), "close")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    text = distinct.join(wanted, "h", "left_semi").select("t").distinct()
-
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own = [shingles(t, words) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([name(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], names=["h", "own"])
-        give_back()
-
-    whole = stage(docs.where(F.col("text").isNotNull()).join(text, F.xxhash64("text") == F.col("t"), "left_semi").select("text").mapInArrow(hashes, "h long, own binary").dropDuplicates(["h"]), "shingles")
-
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             ok = []
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, dtype=np.int64), np.frombuffer(y, dtype=np.int64)
@@ -178,36 +267,45 @@ def links(docs: DataFrame, sets: DataFrame, words: int = WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
         give_back()
 
-    both = pairs.join(whole.select(F.col("h").alias("a"), F.col("own").alias("x")), "a").join(whole.select(F.col("h").alias("b"), F.col("own").alias("y")), "b")
-    return stage(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "similar")
-
-
-def name(own: np.ndarray) -> int:
-    """A set's 64-bit name."""
-    return int(np.uint64(xxhash.xxh64_intdigest(own.tobytes(), SEED)).view(np.int64))
-
-
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """``docs`` with one document of each component of similar ones: that of the smallest id."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    order = spark.sparkContext.broadcast(common_shingles(texts.select("text"), words))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, rank = order.value
-        for b in batches:
-            own = [shingles(t, words) for t in b.column(1).to_pylist()]
-            tokens = [prefix(x, common, rank) for x in own]
-            ends = np.cumsum([0] + [len(x) for x in tokens]).astype("int32")
-            flat = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *tokens])))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([name(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), b.column(2), flat, pa.array([bitmap(x) for x in own], pa.binary())], names=["id", "h", "n", "t", "tokens", "bits"])
-        give_back()
-
-    sets = stage(texts.select("id", "text", F.xxhash64("text").alias("t")).mapInArrow(run, f"id {kind}, h long, n long, t long, tokens array<long>, bits binary"), "sets")
-    found = components(links(texts, sets, words)).withColumnRenamed("node", "h")
-    named = stage(sets.where("n > 0").select("id", "h").join(found, "h", "left").select("id", F.coalesce("root", "h").alias("root")), "similar-named")
-    low = named.groupBy("root").agg(F.min("id").alias("least"), F.count("*").alias("rows")).where("rows > 1")
-    gone = named.join(low, "root").where(~F.col("id").eqNullSafe(F.col("least"))).select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["__gone"]), "left_anti")
+    close = stage(both(pairs, "n", "bits").mapInArrow(compare, "a long, b long"), "close")
+    return stage(both(close, "own").mapInArrow(verify, "a long, b long"), "similar")
+
+
+def fingerprint_pairs(sets: DataFrame, distance: int) -> DataFrame:
+    """Pairs ``(a, b)`` of row numbers that connect what has close fingerprints, staged; a forest, not all pairs."""
+    total = sets.count()
+    lead = stage(sets.groupBy("fp").agg(F.min("row").alias("lead"), F.count("*").alias("many")), "lead")
+    alike = join_unique(sets.select("row", "fp"), lead, "fp", F.col("many"), total).where("row <> lead").select(F.col("lead").alias("a"), F.col("row").alias("b"))
+    near = links(lead.select("fp"), distance)
+    one, two = (lead.select(F.col("fp").alias(k), F.col("lead").alias(f"lead_{k}")) for k in ("a", "b"))
+    apart = near.join(one, "a").join(two, "b").select(F.least("lead_a", "lead_b").alias("a"), F.greatest("lead_a", "lead_b").alias("b"))
+    return stage(alike.unionByName(apart).where("a <> b").distinct(), "proposed")
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
+    """``docs`` with one row of each component of similar ones; columns are kept as they are."""
+    rows, row = numbered(docs, "near")
+    common, rank, hot = common_shingles(rows.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text")), words)
+    order = docs.sparkSession.sparkContext.broadcast((common, rank))
+    sets = stage(signatures(rows, row, id_col, text_col, order, words), "sets")
+    filled = sets.where("n > 0")
+    total = filled.count()
+    names = stage(filled.groupBy("h").agg(F.min("row").alias("first"), F.count("*").alias("many")).where("many > 1"), "names")
+    equal = stage(join_unique(filled.select("row", "h"), names, "h", F.col("many"), total).where("row <> first").select("row", "first"), "equal")
+    single = without(filled, "row", equal.select("row"))
+
+    index = shared_index(single, hot)
+    edges = verified(fingerprint_pairs(single.select("row", "fp"), distance), rows, row, text_col, words)
+    edges = edges.unionByName(equal.select(F.col("first").alias("a"), F.col("row").alias("b")))
+    found = components(edges)
+    for low, high in ROUNDS:
+        more = verified(proposals(index, found, low, high), rows, row, text_col, words)
+        if more.head(1):
+            edges = edges.unionByName(more)
+            found = components(edges)
+    named = found.join(sets.select(F.col("row").alias("node"), "id"), "node")
+    named = stage(named, "named")
+    kept = named.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "node")).alias("best"), F.count("*").alias("many"))
+    kept = stage(kept.select("root", F.col("best.node").alias("keep"), "many"), "kept")
+    gone = join_unique(named, kept, "root", F.col("many"), named.count()).where("node <> keep").select(F.col("node").alias(row))
+    return without(rows, row, stage(gone, "gone")).select(*[f"`{c}`" for c in docs.columns])

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import give_back, read, shared_dir, small_batches
+from riskloom.llm.common import give_back, read, shared_dir
 from riskloom.llm.induced_sort import sort_suffixes
 
 LENGTH, GRAM = 50, 24
@@ -167,7 +167,6 @@ def intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         raise ValueError((gram, length))
     lay = Layout(docs, id_col, text_col, bucket_bytes, others or [])
     spark, ranges = lay.spark, lay.ranges
-    small_batches(spark, 5000)
     ints = lambda a: np.asarray(a, dtype="<i8").tobytes()
 
     def send(df: pd.DataFrame) -> pd.DataFrame:
@@ -394,7 +393,6 @@ def cut_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **o
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with what stays of each text, columns as they are.  Bytes of a character cut in two go; a null text becomes empty."""
-    small_batches(docs.sparkSession)
 
     @F.pandas_udf("string")
     def whole_characters(data: pd.Series) -> pd.Series:

@@ -111,7 +111,6 @@ def tile(q_ids: np.ndarray, q: Rounded, c_ids: np.ndarray, c: Rounded, heaps: li
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)`` of the k largest inner products of each query."""
-    spark = vectors.sparkSession
     total = vectors.count()
     groups = max(1, -(-total // (BLOCK * GROUP)))
     rows = usable(vectors, id_col, vec_col)
@@ -130,7 +129,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec
             return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
 
         for b in batches:
-            for r in b.to_pylist():
+            for r in (one for i in range(b.num_rows) for one in b.slice(i, 1).to_pylist()):
                 dim = r["q_dim"]
                 if last[0] != r["c_block"]:
                     last = (r["c_block"], np.frombuffer(r["c_ids"], dtype="<i8"), Rounded(np.frombuffer(r["c_data"], dtype="<f8").reshape(-1, dim)))
@@ -145,7 +144,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec
         for ids, _, heaps in held.values():
             yield out(ids, heaps)
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
     found = tiles.mapInArrow(run, "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -139,7 +139,6 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                         row = [h.get("warc-record-id"), h.get("warc-target-uri"), h.get("warc-date"), (head + b"\r\n\r\n").decode("utf-8", "replace"), body.decode("utf-8", "replace"), h.get("warc-payload-digest")]
                         yield pd.DataFrame([row], columns=fields)
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, ", ".join(f"{c} string" for c in fields))
 
 

@@ -11,7 +11,7 @@ import pytest
 from conftest import DATA, same_rows
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, chat_format, common, exact_dedup, induced_sort, language_id, packing, queries, simhash_dedup, suffix_dedup, url_filter, vector_search, warc_derivatives
+from riskloom.llm import byte_bpe, chat_format, common, exact_dedup, induced_sort, language_id, packing, queries, similar_dedup, simhash_dedup, suffix_dedup, url_filter, vector_search, warc_derivatives
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -353,8 +353,8 @@ def test_simhash_edges(spark, edge, none):
     got = collections.Counter((r["id"], r["fp"] & (2**64 - 1), r["component_id"]) for r in simhash_dedup.classes(edge.withColumn("fp", F.lit("clash"))).collect())
     assert got == brute_classes([(r[0], r[1]) for r in edge_documents()])
     assert simhash_dedup.classes(none).count() == 0
-    assert simhash_dedup.near_dedup(none).count() == 0
-    assert simhash_dedup.near_dedup(edge).columns == edge.columns
+    assert similar_dedup.near_dedup(none).count() == 0
+    assert similar_dedup.near_dedup(edge).columns == edge.columns
 
 
 @pytest.mark.parametrize("block", [8192, 16])
@@ -419,10 +419,24 @@ def test_exact_dedup_edges(spark, edge, none):
     assert exact_dedup.groups(none).count() == 0 and exact_dedup.exact_dedup(none).count() == 0
 
 
-def test_exact_dedup_without_filter(spark, edge, monkeypatch):
+def test_exact_dedup_in_ranges_of_the_filter(spark, edge, monkeypatch):
+    """The filter runs at any size: with a word at a time as with all, and it lets rows pass that are alone."""
     want = sorted(map(str, exact_dedup.groups(edge).select("id", "keep_id", "group_size").collect()))
-    monkeypatch.setattr(exact_dedup, "MAX_CELLS", 1)
+    monkeypatch.setattr(exact_dedup, "BROADCAST_WORDS", 1)
     assert sorted(map(str, exact_dedup.groups(edge).select("id", "keep_id", "group_size").collect())) == want
+    rows = exact_dedup.fingerprints(spark.range(3000).selectExpr("id as doc_id", "cast(id div 2 * int(id < 200) + id * int(id >= 200) as string) as text"))
+    for most in (1 << 20, 40):
+        alone, others = exact_dedup.possibly_repeated(rows, 3000, most)
+        assert 200 <= others.count() < 300 and alone.count() + others.count() == 3000
+        assert alone.where("id < 200").count() == 0
+
+
+def test_exact_dedup_of_rows_that_repeat_an_id(spark):
+    rows = [(1, "ab", 1), (1, "a  b", 2), (1, "c", 3), (None, "c", 4), (None, None, 5), (2, " ", 6), (2, "ab", 7), (3, "d", 8), (3, "d", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_no int").withColumns({"__s": F.lit(1), "sha": F.lit("x"), "word": F.lit(2)})
+    got = exact_dedup.exact_dedup(docs)
+    kept = [r["row_no"] for r in got.orderBy("row_no").collect()]
+    assert got.columns == docs.columns and kept[:3] == [2, 3, 6] and len(kept) == 4 and kept[3] in (8, 9)
 
 
 def test_exact_dedup_runs_no_python(spark):
@@ -505,7 +519,3 @@ def test_url_edges(spark):
     assert {r["rule"] for r in url_filter.judge(df, []).collect()} == {None}
     rules = spark.createDataFrame([("net", "/", "block"), ("net", "/", "allow"), (None, "/", "block")], "host string, path string, verdict string")
     assert url_filter.judge(df, rules).where("page_id = 2").first()["verdict"] == "block"
-
-
-def test_json_of_nothing_else():
-    assert json.dumps(sorted(queries.MODULES))
