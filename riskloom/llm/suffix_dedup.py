@@ -284,7 +284,7 @@ def by_bucket(bucket: np.ndarray, row: np.ndarray, begin: np.ndarray, end: np.nd
 def dealt(docs: DataFrame, id_col: str, text_col: str, bucket_bytes: int, others: list[str]) -> tuple[DataFrame, int, int]:
     """The documents in buckets, the number of buckets, and the bytes of all texts."""
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")))).first()[0] or 0
-    buckets = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
+    buckets = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
     own = F.col(f"`{id_col}`").cast("long")
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.coalesce(own, F.lit(int(NO_ID))).alias("id"),
@@ -302,8 +302,7 @@ def intervals(rows: DataFrame, size: int, length: int, gram: int, sort_bytes: in
     if not 0 < gram <= length:
         raise ValueError((gram, length))
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(4 * partitions, -(-size // RANGE_BYTES))
-    shards = max(partitions, -(-size // RANGE_BYTES))
+    ranges = shards = max(partitions, -(-size // RANGE_BYTES))
     width = length - gram + 1
 
     def send(t: pa.Table) -> pa.Table:
