@@ -1,8 +1,8 @@
 """URL filter: host-suffix and path-prefix expressions, joined on short hash prefixes and confirmed by full digests.
 
 A URL's host is what lies between the first ``://`` and the next ``/``, ``?``, ``#`` or the end, with A-Z lower-cased; its
-path goes on up to ``?``, ``#`` or the end.  Each URL becomes the pairs of its host's suffixes (at label borders) and
-its path's prefixes (of the lengths that rules have); the SHA-256 of such a pair is matched with the rules first by its
+path goes on up to ``?``, ``#`` or the end.  Each site (host and path) becomes the pairs of its host's suffixes (at label borders, of as
+many labels as rules have) and its path's prefixes (of the lengths that rules have), so a URL of any length has few; the SHA-256 of such a pair is matched with the rules first by its
 leading PREFIX_HEX digits, an equi-join, and then in full.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, fits no rule and gets the default verdict;
@@ -18,7 +18,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import read
+from riskloom.llm.common import join_unique, read, stage
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 PREFIX_HEX = 8
@@ -36,7 +36,7 @@ def path_of(url: Column) -> Column:
 
 
 def rule_table(spark: SparkSession, rules: DataFrame | Iterable[tuple[str, str, str]]) -> DataFrame:
-    """``(prefix, digest, best)`` for each rule; best orders the rules that fit one URL."""
+    """``(prefix, digest, labels, best)`` for each rule; best orders the rules that fit one URL."""
     if not isinstance(rules, DataFrame):
         rules = spark.createDataFrame(list(rules), "host string, path string, verdict string")
     key = F.concat("host", F.lit("\n"), "path")
@@ -46,39 +46,40 @@ def rule_table(spark: SparkSession, rules: DataFrame | Iterable[tuple[str, str,
     )
     digest = F.sha2(key, 256)
     rules = rules.where("host is not null and path is not null and verdict is not null")
-    return rules.select(digest.alias("digest"), best.alias("best")).groupBy("digest").agg(F.max("best").alias("best")).select(F.substring("digest", 1, PREFIX_HEX).alias("prefix"), "digest", "best")
+    labels = F.length("host") - F.length(F.replace(F.col("host"), F.lit("."))) + 1
+    rules = rules.select(digest.alias("digest"), labels.alias("labels"), best.alias("best")).groupBy("digest", "labels").agg(F.max("best").alias("best"))
+    return rules.select(F.substring("digest", 1, PREFIX_HEX).alias("prefix"), "digest", "labels", "best")
 
 
-def expressions(host: Column, path: Column, lengths: list[int]) -> Column:
-    """All (host suffix, path prefix) pairs of a URL as ``host\\npath`` strings."""
-    labels = F.split(host, r"\.", -1)
-    n = F.size(labels)
-    suffixes = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
-    lens = F.filter(F.array(*[F.lit(x) for x in lengths]).cast("array<int>"), lambda x: x <= F.length(path))
-    prefixes = F.transform(lens, lambda x: F.substring(path, F.lit(1), x))
-    return F.array_distinct(F.flatten(F.transform(suffixes, lambda h: F.transform(prefixes, lambda p: F.concat(h, F.lit("\n"), p)))))
+def expressions(host: Column, path: Column, labels: list[int], lengths: list[int]) -> Column:
+    """All (host suffix, path prefix) pairs of a URL, of the label counts and lengths that rules have, as ``host\\npath`` strings."""
+    have = F.length(host) - F.length(F.replace(host, F.lit("."))) + 1
+    suffixes = F.filter(F.array(*[F.when(have >= n, F.substring_index(host, ".", -n)) for n in labels]).cast("array<string>"), lambda h: h.isNotNull())
+    prefixes = F.filter(F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths]).cast("array<string>"), lambda p: p.isNotNull())
+    return F.flatten(F.transform(suffixes, lambda h: F.transform(prefixes, lambda p: F.concat(h, F.lit("\n"), p))))
 
 
 def judge(pages: DataFrame, rules: DataFrame | Iterable[tuple[str, str, str]] = RULES, url_col: str = "url", default: str = "allow") -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` (null where none fits) and ``verdict``; columns of those names are replaced."""
-    spark = pages.sparkSession
-    table = rule_table(spark, rules).cache()
     if default not in ("allow", "block"):
         raise ValueError(default)
-    # Path lengths are few: no rule is longer than a URL may be.
-    lengths = [r[0] for r in table.select((F.col("best.size") - F.col("best.host_size")).alias("x")).distinct().collect()]
+    table = stage(rule_table(pages.sparkSession, rules), "rules")
+    # Path lengths and label counts are few: no rule is longer than a URL may be.
+    shapes = table.select("labels", (F.col("best.size") - F.col("best.host_size")).alias("length")).distinct().collect()
     small = table.count() <= BROADCAST_RULES
     keep = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    url = F.col(url_col)
-    own = pages.select(*keep, host_of(url).alias("host"), path_of(url).alias("path"))
-    sites = own.select("host", "path").where("host <> ''").distinct()
-    asked = sites.select("host", "path", F.explode(expressions(F.col("host"), F.col("path"), lengths)).alias("__e"))
-    asked = asked.select("host", "path", F.sha2("__e", 256).alias("__d")).withColumn("prefix", F.substring("__d", 1, PREFIX_HEX))
-    fits = asked.join(F.broadcast(table) if small else table, "prefix").where("__d = digest")
-    found = fits.groupBy("host", "path").agg(F.max("best").alias("__best"))
-    return own.join(found, ["host", "path"], "left").select(
-        *keep, "host", "path", F.col("__best.rule").alias("rule"), F.coalesce("__best.verdict", F.lit(default)).alias("verdict")
-    )
+    url = F.col(f"`{url_col}`")
+    own = pages.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], host_of(url).alias("host"), path_of(url).alias("path"))
+    # A path is empty or begins with a slash, which no host has: the two together name a site.
+    own = own.withColumn("site", F.concat("host", "path"))
+    sites = own.where("host <> ''").groupBy("site").agg(F.first("host").alias("host"), F.first("path").alias("path"), F.count("*").alias("pages"))
+    each = expressions(F.col("host"), F.col("path"), sorted({r["labels"] for r in shapes}), sorted({r["length"] for r in shapes}))
+    asked = sites.select("site", "pages", F.explode(each).alias("expression")).select("site", "pages", F.sha2("expression", 256).alias("asked")).withColumn("prefix", F.substring("asked", 1, PREFIX_HEX))
+    fits = asked.join(F.broadcast(table) if small else table, "prefix").where("asked = digest")
+    found = stage(fits.groupBy("site").agg(F.max("best").alias("best"), F.first("pages").alias("pages")), "found")
+    # Pages of a site that is asked for very often don't move.
+    judged = join_unique(own, found, "site", F.col("pages"), own.count())
+    return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
