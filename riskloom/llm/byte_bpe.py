@@ -1,7 +1,6 @@
 """Byte-level BPE: overlapping chunk encoding, and decoding by concatenated bytes.
 
-Texts of up to ``long_chars`` characters are encoded where they are read.  A longer text becomes rows of overlapping
-chunks, which tasks pre-tokenise independently of each other; a chunk that starts inside a pre-token yields wrong
+A text becomes rows of overlapping chunks (one of up to ``long_chars`` characters is a single chunk and encoded where it is read), which tasks pre-tokenise independently of each other; a chunk that starts inside a pre-token yields wrong
 borders at first, so neighbouring chunks are stitched at the first border after a non-space character that both found
 in their overlap (without one, the left chunk is read on until it meets one).  The pre-tokens are then encoded, each by itself.
 
@@ -28,8 +27,8 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import read, slices
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-#: Characters of a chunk and of its overlap with the next one, and the length from which a text is cut into chunks.
-CHUNK, OVERLAP, LONG = 32_768, 512, 65_536
+#: Characters of a chunk and of its overlap with the next one, and the length up to which a text is one chunk.
+CHUNK, OVERLAP, LONG = 8_192, 256, 8_192
 _loaded: dict[str, "Encoder"] = {}
 
 
@@ -113,20 +112,25 @@ def stitch(text: str, chunk: int, overlap: int, found: list[list[int]], borders)
 
     ``borders(text)`` reads on where an overlap has no common border.
     """
-    mine, begin = list(found[0]), 0
+    mine, i, far = list(found[0]), 1, 1
     whole: list[int] = []
-    for i in range(1, len(found)):
+    while i < len(found):
         start = i * chunk
         theirs = [start + x for x in found[i]]
         end_mine, known = min(len(text), start + overlap), set(theirs)
         meet = next((p for p in mine if start < p < end_mine and p in known and not text[p - 1].isspace()), None)
         if meet is None:
-            # Read on from the last sure border, through this chunk's end; it becomes the left side of the next overlap.
+            # Read on from the last sure border, through this chunk's end; it becomes the left side of the next overlap.  Each time
+            # that fails again twice as many chunks are read, so the reading stays in proportion to the text.
             begin = whole[-1] if whole else 0
-            mine = [begin + x for x in borders(text[begin : min(len(text), start + chunk + overlap)])]
+            i += far
+            mine = [begin + x for x in borders(text[begin : min(len(text), i * chunk + overlap)])]
+            far *= 2
             continue
+        far = 1
         whole += [p for p in mine if p <= meet]
         mine = [p for p in theirs if p > meet]
+        i += 1
     return whole + mine
 
 
