@@ -14,6 +14,7 @@ from __future__ import annotations
 import gzip
 import io
 from collections.abc import Iterator
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,8 +24,10 @@ from riskloom.llm.common import read
 
 RECORD = ["warc_type", "record_id", "refers_to", "target_uri", "warc_date", "content_type", "source_headers", "source_digest", "block", "block_digest", "content_length"]
 BREAKS = r"(?i)</?(p|div|br|li|ul|ol|tr|td|th|table|h1|h2|h3|h4|h5|h6|article|section|nav|header|footer|title|blockquote|pre)(\s[^>]*)?/?>"
-#: Entities in the order in which they are replaced.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+#: Character references, which end with a semicolon: the named ones are those of HTML 5; no-break space becomes a space.
+NAMED = {f"&{k}": v.replace("\xa0", " ") for k, v in html5.items() if k.endswith(";")}
+TOKENS = r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[A-Za-z][A-Za-z0-9]{0,31};|[^&]+|&"
+HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def uuid_of(key: Column) -> Column:
@@ -38,9 +41,20 @@ def digest(text: Column) -> Column:
 
 
 def unescaped(text: Column) -> Column:
-    for a, b in ENTITIES:
-        text = F.replace(text, F.lit(a), F.lit(b))
-    return text
+    """The text with character references decoded, in one pass from left to right; what isn't one stays as it is.
+
+    References to surrogates, to 0 and beyond Unicode give U+FFFD.
+    """
+    named = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in NAMED.items())), F.lit("\x01"), F.lit("\x02"))
+
+    def decoded(t: Column) -> Column:
+        code = F.when(F.substring(t, 3, 1).isin("x", "X"), F.conv(F.substring(t, F.lit(4), F.length(t) - 4), 16, 10)).otherwise(F.substring(t, F.lit(3), F.length(t) - 3)).cast("int")
+        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        number = F.when(F.startswith(t, F.lit("&#")) & F.endswith(t, F.lit(";")), F.when(char == "\xa0", " ").otherwise(char))
+        return F.when(~F.startswith(t, F.lit("&")), t).otherwise(F.coalesce(number, F.element_at(named, t), t))
+
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.regexp_extract_all(text, F.lit(TOKENS), F.lit(0)), decoded), "")).otherwise(text)
 
 
 def plain_text(html: Column) -> Column:
@@ -58,7 +72,7 @@ def tidy(text: Column) -> Column:
 
 def page_metadata(html: Column) -> Column:
     """The fields of the metadata record, a line each (application/warc-fields)."""
-    links = F.array_distinct(F.regexp_extract_all(html, F.lit(r'(?i)<a\s[^>]*href="([^"]*)"'), F.lit(1)))
+    links = F.array_distinct(F.transform(F.regexp_extract_all(html, F.lit(HREF), F.lit(1)), lambda x: unescaped(F.regexp_replace(x, "^[\"']|[\"']$", ""))))
     lines = [
         F.concat(F.lit("title: "), tidy(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)), F.lit("\r\n")),
         F.concat(F.lit("lang: "), F.regexp_extract(html, r'(?i)<html[^>]*\slang="([^"]*)"', 1), F.lit("\r\n")),
@@ -150,10 +164,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     uuid = lambda k: f"'<urn:uuid:' || substr(md5({k}), 1, 8) || '-' || substr(md5({k}), 9, 4) || '-' || substr(md5({k}), 13, 4) || '-' || substr(md5({k}), 17, 4) || '-' || substr(md5({k}), 21, 12) || '>'"
 
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+
     def entities(t: str) -> str:
-        for a, b in ENTITIES:
-            t = f"replace({t}, '{a}', '{b.replace(chr(39), chr(39) * 2)}')"
-        return t
+        code = "cast(case when t[3] in ('x', 'X') then '0x' || substr(t, 4, length(t) - 4) else substr(t, 3, length(t) - 3) end as integer)"
+        char = f"case when {code} > 0 and {code} < 1114112 and {code} not between 55296 and 57343 then replace(chr({code}), chr(160), ' ') else chr(65533) end"
+        one = f"case when not starts_with(t, '&') then t when starts_with(t, '&#') and ends_with(t, ';') then {char} else coalesce(named[t], t) end"
+        return f"coalesce(array_to_string(list_transform(regexp_extract_all({t}, '{TOKENS}'), lambda t: {one}), ''), '')"
 
     text = r"regexp_replace(h, '(?s)<!--.*?-->', ' ', 'g')"
     for tag in ("script", "style", "noscript"):
@@ -161,8 +178,11 @@ def _sql() -> str:
     text = rf"regexp_replace(regexp_replace({text}, '{BREAKS}', chr(10), 'g'), '<[^>]*>', '', 'g')"
     text = rf"regexp_replace(regexp_replace({entities(text)}, '[ \t\r\f]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g')"
     title = rf"trim(regexp_replace({entities(r"regexp_replace(regexp_extract(h, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]*>', '', 'g')")}, '\s+', ' ', 'g'), ' ')"
+    names = f"map([{', '.join(map(quoted, NAMED))}], [{', '.join(map(quoted, NAMED.values()))}])"
+    href = HREF.replace("'", "''")
     return rf"""
-with r as (
+with names as (select {names} as named),
+r as (
   select page_id, url as target_uri, coalesce(html, '') as h,
          'response' || chr(10) || coalesce(cast(page_id as varchar), '') || chr(10) || coalesce(url, '') || chr(10) || md5(coalesce(html, '')) as k
   from pages
@@ -170,10 +190,10 @@ with r as (
 s as (
   select *, {uuid("k")} as refers_to, 'sha256:' || sha256(h) as source_digest,
          'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || 'Content-Length: ' || strlen(h) || chr(13) || chr(10) || chr(13) || chr(10) as source_headers
-  from r
+  from r cross join names
 ),
 l as (
-  select *, regexp_extract_all(h, '(?i)<a\s[^>]*href="([^"]*)"', 1) as a from s
+  select *, list_transform(regexp_extract_all(h, '{href}', 1), lambda x: {entities("regexp_replace(x, '^[\"'']|[\"'']$', '', 'g')")}) as a from s
 ),
 m as (
   select page_id, 'metadata' as warc_type, refers_to, target_uri, 'application/warc-fields' as content_type, source_headers, source_digest,
