@@ -123,8 +123,15 @@ def spare_name(docs: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``docs`` staged with a number for each row, and the number's column: rows that repeat an id, or have none, stay apart."""
+def numbered(docs: DataFrame, id_col: str, name: str) -> tuple[DataFrame, str]:
+    """``docs`` and a column that tells its rows apart: the id where it does, else a row number, with a staged copy that keeps it.
+
+    With an id of its own for each row nothing is copied; ``docs`` is then read several times and should be a stored table.
+    """
+    if docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long"):
+        own = docs.groupBy(F.col(f"`{id_col}`").alias("id")).agg(F.count("*").alias("n"))
+        if not own.where("n > 1 or id is null").head(1):
+            return docs, id_col
     row = spare_name(docs, "row_no")
     return stage(docs.withColumn(row, F.monotonically_increasing_id()), name), row
 

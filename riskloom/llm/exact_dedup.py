@@ -91,7 +91,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text repeats another's; columns are kept as they are."""
-    rows, row = numbered(docs, "exact")
+    rows, row = numbered(docs, id_col, "exact")
     gone = groups(rows, id_col, text_col, row).where("row_no <> keep_row").select(F.col("row_no").alias(row))
     return without(rows, row, stage(gone, "gone")).select(*[f"`{c}`" for c in docs.columns])
 

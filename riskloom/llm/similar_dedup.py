@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import components, give_back, join_unique, numbered, slices, stage, without
+from riskloom.llm.common import components, give_back, join_unique, numbered, slices, stage, unstage, without
 from riskloom.llm.simhash_dedup import DISTANCE, links, majority
 
 WORDS, SEED = 5, 42
@@ -37,7 +37,7 @@ NUMERATOR, DENOMINATOR = 4, 5
 SAMPLE, COMMON, HELD = 16_000, 4, 65_536
 #: Share of the sampled documents from which a shingle is dealt to several tasks, and their number.
 HOT, SALTS = 1 / 1000, 64
-#: Bits of a bitmap, documents of a shingle that are compared in one task, and the rounds' distances within a shingle.
+#: Least bits of a bitmap, documents of a shingle that are compared in one task, and the rounds' distances within a shingle.
 BITMAP, BLOCK, ROUNDS = 1024, 8_192, ((1, 2), (2, 16), (16, 1 << 62))
 #: Sets that are looked up by a broadcast of their row numbers; more are looked up by a shuffle.
 LOOKED_UP = 500_000
@@ -65,9 +65,18 @@ def similar(shared, n, m):
 
 
 def bitmap(own: np.ndarray) -> bytes:
-    """Parities of the numbers of shingles that fall on each bit."""
-    on = np.bincount((own.view(np.uint64) % np.uint64(BITMAP)).astype(np.int64), minlength=BITMAP)
-    return np.packbits(on & 1).tobytes()
+    """Parities of the numbers of shingles that fall on each bit; of as many bits as there are shingles, rounded up to a power of two."""
+    width = max(BITMAP, 1 << int(len(own) - 1).bit_length()) if len(own) else BITMAP
+    on = np.bincount((own.view(np.uint64) % np.uint64(width)).astype(np.int64), minlength=width)
+    return np.packbits(on & 1, bitorder="little").tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two bitmaps differ; a wider one is folded to the other's width."""
+    if len(x) > len(y):
+        x, y = y, x
+    wide = np.frombuffer(y, dtype=np.uint64).reshape(-1, len(x) // 8)
+    return int(np.bitwise_count(np.bitwise_xor.reduce(wide, axis=0) ^ np.frombuffer(x, dtype=np.uint64)).sum())
 
 
 def prefix(own: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -104,7 +113,7 @@ def common_shingles(texts: DataFrame, words: int = WORDS) -> tuple[np.ndarray, n
 
 
 def signatures(rows: DataFrame, row: str, id_col: str, text_col: str, order, words: int) -> DataFrame:
-    """``(row, id, h, n, fp, tokens)``: a set's name, size and fingerprint, and its shingles for the index."""
+    """``(row, id, h, n, fp, bits, tokens)``: a set's name, size, fingerprint and bitmap, and its shingles for the index."""
     kind = rows.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,40 +126,42 @@ def signatures(rows: DataFrame, row: str, id_col: str, text_col: str, order, wor
             ends = np.cumsum([0] + [len(x) for x in tokens]).astype("int32")
             flat = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *tokens])))
             names = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in own], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(names), pa.array([len(x) for x in own], pa.int64()), pa.array(fps), flat], names=["row", "id", "h", "n", "fp", "tokens"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(names), pa.array([len(x) for x in own], pa.int64()), pa.array(fps), pa.array([bitmap(x) for x in own], pa.binary()), flat], names=["row", "id", "h", "n", "fp", "bits", "tokens"])
         give_back()
 
-    taken = rows.select(F.col(f"`{row}`").alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return taken.mapInArrow(run, f"row long, id {kind}, h long, n long, fp long, tokens array<long>")
+    taken = rows.select(F.col(f"`{row}`").cast("long").alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return taken.mapInArrow(run, f"row long, id {kind}, h long, n long, fp long, bits binary, tokens array<long>")
 
 
 def shared_index(sets: DataFrame, hot: list[int]) -> DataFrame:
     """``(token, row, na)`` of the shingles that meet another document, staged; na is the set's size * 2^32 + the shingle's place."""
     spark = sets.sparkSession
     na = F.shiftleft("n", 32) + F.col("at")
-    each = sets.select("row", "n", F.posexplode("tokens").alias("at", "token")).select("token", "row", na.alias("na"))
-    # Shingles known to be hot are shared for sure; they are dealt by document as well, and none of their rows is alone.
+    each = sets.select("row", "n", F.posexplode("tokens").alias("at", "token"))
+    # Shingles known to be hot are shared for sure; they are dealt by document as well, and none of their rows is alone.  They
+    # are marked by a negative na: the rows of the index are many, and narrow.
     known = spark.createDataFrame([(x, True) for x in hot], "token long, hot boolean")
-    each = each.join(F.broadcast(known), "token", "left")
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("row"), F.lit(SALTS))).otherwise(F.lit(0))
-    dealt = each.select("token", "row", "na", F.coalesce("hot", F.lit(False)).alias("hot"), salt.alias("salt")).repartition("token", "salt").sortWithinPartitions("token")
+    each = each.join(F.broadcast(known), "token", "left").select("token", "row", F.when(F.col("hot"), -1 - na).otherwise(na).alias("na"))
+    salt = F.when(F.col("na") < 0, F.pmod(F.xxhash64("row"), F.lit(SALTS))).otherwise(F.lit(0))
+    dealt = each.repartition("token", salt).sortWithinPartitions("token")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: list = []  # the row that may be alone, so far
 
         def keep(cols: list[np.ndarray]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols[:3]], names=["token", "row", "na"])
+            na = np.where(cols[2] < 0, -1 - cols[2], cols[2])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (cols[0], cols[1], na)], names=["token", "row", "na"])
 
         before, met = None, False
         for b in batches:
-            cols = [b.column(i).to_numpy() for i in range(3)] + [b.column(3).to_numpy(zero_copy_only=False)]
+            cols = [b.column(i).to_numpy() for i in range(3)]
             if last:
                 cols = [np.concatenate([x, c]) for x, c in zip(last, cols, strict=True)]
             token = cols[0]
             if not len(token):
                 continue
             same = token[1:] == token[:-1]
-            both = np.append(same, False) | np.append(False, same) | cols[3]
+            both = np.append(same, False) | np.append(False, same) | (cols[2] < 0)
             # A held row may have met its like in an earlier batch.
             both[0] |= met and token[0] == before
             open_ = not both[-1]
@@ -196,7 +207,9 @@ def proposals(index: DataFrame, found: DataFrame, low: int, high: int) -> DataFr
     keys = F.expr("transform(sequence(0, blocks - 1), o -> xxhash64(token, least(o, mine), greatest(o, mine)))") if last else F.array(F.xxhash64("token", "mine"))
     split = rows.where(F.col("many") > BLOCK).withColumn("blocks", blocks).withColumn("mine", mine).select(F.explode(keys).alias("key"), "row", "na", "comp")
     whole = rows.where(F.col("many") <= BLOCK).select(F.col("token").alias("key"), "row", "na", "comp")
-    return stage(paired(whole, low, high).unionByName(paired(split, 1 if last else low, high)).distinct(), "proposed")
+    found = stage(paired(whole, low, high).unionByName(paired(split, 1 if last else low, high)).distinct(), "proposed")
+    unstage(index)
+    return found
 
 
 def paired(rows: DataFrame, low: int, high: int) -> DataFrame:
@@ -227,37 +240,27 @@ def paired(rows: DataFrame, low: int, high: int) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "na", "row").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, row: str, text_col: str, words: int) -> DataFrame:
-    """Those of the pairs ``(a, b)`` of row numbers whose sets are similar, staged."""
-    wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias(row)).distinct(), "wanted")
-    size = wanted.count()
-    if not size:
-        return wanted.select(F.col(row).alias("a"), F.col(row).alias("b"))
-    few = size <= LOOKED_UP
-    text = rows.join(F.broadcast(wanted) if few else wanted, row, "left_semi").select(F.col(f"`{row}`").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            own = [shingles(t, words) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in own], pa.int64()), pa.array([bitmap(x) for x in own], pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())], names=["row", "n", "bits", "own"])
-        give_back()
+def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, row: str, text_col: str, words: int) -> DataFrame:
+    """Those of the staged pairs ``(a, b)`` of row numbers whose sets are similar, staged; the pairs go."""
 
-    whole = stage(text.mapInArrow(sets, "row long, n long, bits binary, own binary"), "whole")
-
-    def both(pairs: DataFrame, *cols: str) -> DataFrame:
-        x, y = (whole.select(F.col("row").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in cols]) for k in ("a", "b"))
+    def both(pairs: DataFrame, known: DataFrame, *cols: str) -> DataFrame:
+        x, y = (known.select(F.col("row").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in cols]) for k in ("a", "b"))
         return pairs.join(x, "a").join(y, "b").select("a", "b", *[f"{c}_{k}" for c in cols for k in ("a", "b")])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 4096):
             size = b.column(2).to_numpy() + b.column(3).to_numpy()
-            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), dtype=np.uint64).reshape(-1, BITMAP // 64) for i in (4, 5))
-            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            differ = np.array([differing(x, y) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)], dtype=np.int64)
             # Similar sets differ in n + m - 2 * shared shingles at most.
             ok = (NUMERATOR + DENOMINATOR) * (size - differ) >= 2 * NUMERATOR * size
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok))
         give_back()
 
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t, words).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["row", "own"])
+        give_back()
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             ok = []
@@ -267,8 +270,15 @@ def verified(pairs: DataFrame, rows: DataFrame, row: str, text_col: str, words:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
         give_back()
 
-    close = stage(both(pairs, "n", "bits").mapInArrow(compare, "a long, b long"), "close")
-    return stage(both(close, "own").mapInArrow(verify, "a long, b long"), "similar")
+    # Bitmaps first: whole sets are made and moved only of the few documents that they leave.
+    close = stage(both(pairs, sets, "n", "bits").mapInArrow(compare, "a long, b long"), "close")
+    wanted = stage(close.select(F.explode(F.array("a", "b")).alias(row)).distinct(), "wanted")
+    few = wanted.count() <= LOOKED_UP
+    text = rows.join(F.broadcast(wanted) if few else wanted, row, "left_semi").select(F.col(f"`{row}`").cast("long").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    whole = stage(text.mapInArrow(shingled, "row long, own binary"), "whole")
+    out = stage(both(close, whole, "own").mapInArrow(verify, "a long, b long"), "similar")
+    unstage(pairs, close, wanted, whole)
+    return out
 
 
 def fingerprint_pairs(sets: DataFrame, distance: int) -> DataFrame:
@@ -284,25 +294,28 @@ def fingerprint_pairs(sets: DataFrame, distance: int) -> DataFrame:
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
     """``docs`` with one row of each component of similar ones; columns are kept as they are."""
-    rows, row = numbered(docs, "near")
+    rows, row = numbered(docs, id_col, "near")
     common, rank, hot = common_shingles(rows.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text")), words)
     order = docs.sparkSession.sparkContext.broadcast((common, rank))
-    sets = stage(signatures(rows, row, id_col, text_col, order, words), "sets")
+    wide = stage(signatures(rows, row, id_col, text_col, order, words), "signatures")
+    sets = stage(wide.drop("tokens"), "sets")
     filled = sets.where("n > 0")
     total = filled.count()
     names = stage(filled.groupBy("h").agg(F.min("row").alias("first"), F.count("*").alias("many")).where("many > 1"), "names")
     equal = stage(join_unique(filled.select("row", "h"), names, "h", F.col("many"), total).where("row <> first").select("row", "first"), "equal")
     single = without(filled, "row", equal.select("row"))
 
-    index = shared_index(single, hot)
-    edges = verified(fingerprint_pairs(single.select("row", "fp"), distance), rows, row, text_col, words)
+    index = shared_index(without(wide.where("n > 0").select("row", "n", "tokens"), "row", equal.select("row")), hot)
+    unstage(wide)
+    edges = verified(fingerprint_pairs(single.select("row", "fp"), distance), sets, rows, row, text_col, words)
     edges = edges.unionByName(equal.select(F.col("first").alias("a"), F.col("row").alias("b")))
     found = components(edges)
     for low, high in ROUNDS:
-        more = verified(proposals(index, found, low, high), rows, row, text_col, words)
+        more = verified(proposals(index, found, low, high), sets, rows, row, text_col, words)
         if more.head(1):
             edges = edges.unionByName(more)
             found = components(edges)
+    unstage(index)
     named = found.join(sets.select(F.col("row").alias("node"), "id"), "node")
     named = stage(named, "named")
     kept = named.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "node")).alias("best"), F.count("*").alias("many"))
