@@ -37,8 +37,10 @@ NUMERATOR, DENOMINATOR = 4, 5
 SAMPLE, COMMON, HELD = 16_000, 4, 65_536
 #: Share of the sampled documents from which a shingle is dealt to several tasks, and their number.
 HOT, SALTS = 1 / 1000, 64
-#: Least bits of a bitmap, documents of a shingle that are compared in one task, and the rounds' distances within a shingle.
-BITMAP, BLOCK, ROUNDS = 1024, 8_192, ((1, 2), (2, 16), (16, 1 << 62))
+#: Least bits of a bitmap, and documents of a shingle that are compared in one task.
+BITMAP, BLOCK, FAR = 1024, 8_192, 1 << 62
+#: Rounds: distances within a shingle.
+ROUNDS = ((1, 2), (2, 8), (8, 32), (32, FAR))
 #: Sets that are looked up by a broadcast of their row numbers; more are looked up by a shuffle.
 LOOKED_UP = 500_000
 
@@ -173,8 +175,15 @@ def shared_index(sets: DataFrame, hot: list[int]) -> DataFrame:
     return stage(dealt.mapInArrow(run, "token long, row long, na long"), "index")
 
 
-def met(token: np.ndarray, row: np.ndarray, na: np.ndarray, comp: np.ndarray, low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows of equal token, in order of token and size, ``low`` to ``high`` places apart, of different components, that may be similar."""
+def near(a: int, b: int, n: np.ndarray, bits: list[bytes]) -> bool:
+    """Whether the bitmaps of two sets let them be similar: those differ in n + m - 2 * shared shingles at most."""
+    size = int(n[a] + n[b])
+    return (NUMERATOR + DENOMINATOR) * (size - differing(bits[a], bits[b])) >= 2 * NUMERATOR * size
+
+
+def met(token: np.ndarray, row: np.ndarray, na: np.ndarray, comp: np.ndarray, bits: list[bytes], low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of equal token, in order of token and size, ``low`` to ``high`` places apart, of different components, that may be
+    similar by their sizes, the shingle's places and the bitmaps."""
     n, at = na >> 32, na & 0xFFFFFFFF
     live, step = np.arange(len(token)), low
     while step < high:
@@ -185,77 +194,92 @@ def met(token: np.ndarray, row: np.ndarray, na: np.ndarray, comp: np.ndarray, lo
         live, other = live[stays], other[stays]
         if not len(live):
             return
-        most = np.minimum(n[live] - at[live], n[other] - at[other])
-        ok = similar(most, n[live], n[other]) & (comp[live] != comp[other])
+        shared = np.minimum(n[live] - at[live], n[other] - at[other])
+        ok = similar(shared, n[live], n[other]) & (comp[live] != comp[other])
+        ok[ok] = [near(a, b, n, bits) for a, b in zip(live[ok].tolist(), other[ok].tolist(), strict=True)]
         if ok.any():
             a, b = row[live[ok]], row[other[ok]]
             yield np.minimum(a, b), np.maximum(a, b)
         step += 1
 
 
-def proposals(index: DataFrame, found: DataFrame, low: int, high: int) -> DataFrame:
-    """Distinct pairs ``(a, b)`` that the index proposes in a round, ``found`` being the components so far."""
+def proposals(index: DataFrame, found: DataFrame, sets: DataFrame, low: int, high: int) -> DataFrame:
+    """Distinct pairs ``(a, b)`` that the index proposes in a round, staged, ``found`` being the components so far."""
     index = index.join(found.select(F.col("node").alias("row"), "root"), "row", "left").withColumn("comp", F.coalesce("root", "row")).drop("root")
     index = stage(index, "placed")
     total = index.count()
-    # Shingles whose documents are one component already propose nothing.
-    open_ = index.groupBy("token").agg(F.count("*").alias("many"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token", "many")
-    rows = join_unique(index, stage(open_, "open"), "token", F.col("many"), total).where("many is not null")
-    last = high >= ROUNDS[-1][1]
+    # Shingles whose documents are one component already propose nothing; of those that the same documents have (those of a
+    # passage, say) the first in the order stands for all, as the first that any two of these documents share.
+    place = F.col("na").bitwiseAND(F.lit((1 << 32) - 1))
+    per = index.groupBy("token").agg(
+        F.count("*").alias("many"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum(F.xxhash64("row").bitwiseAND(F.lit((1 << 40) - 1))).alias("same"),
+        F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("too"), F.min(F.struct("row", place.alias("at"))).alias("first"),
+    ).where("lo <> hi")
+    open_ = per.groupBy("many", "same", "too", "first.row").agg(F.min(F.struct("first.at", "token"))["token"].alias("token")).select("token", "many")
+    rows = join_unique(index, stage(open_, "open"), "token", F.col("many"), total).where("many is not null").join(sets.select("row", "bits"), "row")
+    last = high >= FAR
     blocks, mine = F.expr(f"cast(many div {BLOCK} + 1 as int)"), F.expr("cast(pmod(xxhash64(row), blocks) as int)")
     # Before the last round the blocks of a shingle go by themselves; in the last every two of them meet, at all distances.
     keys = F.expr("transform(sequence(0, blocks - 1), o -> xxhash64(token, least(o, mine), greatest(o, mine)))") if last else F.array(F.xxhash64("token", "mine"))
-    split = rows.where(F.col("many") > BLOCK).withColumn("blocks", blocks).withColumn("mine", mine).select(F.explode(keys).alias("key"), "row", "na", "comp")
-    whole = rows.where(F.col("many") <= BLOCK).select(F.col("token").alias("key"), "row", "na", "comp")
+    split = rows.where(F.col("many") > BLOCK).withColumn("blocks", blocks).withColumn("mine", mine).select(F.explode(keys).alias("key"), "row", "na", "comp", "bits")
+    whole = rows.where(F.col("many") <= BLOCK).select(F.col("token").alias("key"), "row", "na", "comp", "bits")
     found = stage(paired(whole, low, high).unionByName(paired(split, 1 if last else low, high)).distinct(), "proposed")
     unstage(index)
     return found
 
 
 def paired(rows: DataFrame, low: int, high: int) -> DataFrame:
-    """Pairs ``(a, b)`` of ``rows(key, row, na, comp)`` as ``met`` has them."""
+    """Pairs ``(a, b)`` of ``rows(key, row, na, comp, bits)`` as ``met`` has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
+        held: list[pa.RecordBatch] = []
         size = 0
 
-        def done(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            for a, b in met(*cols, low, high):
+        def done(some: pa.Table) -> Iterator[pa.RecordBatch]:
+            cols = [some.column(i).to_numpy() for i in range(4)]
+            for a, b in met(*cols, some.column(4).to_pylist(), low, high):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
-            held.append([c.to_numpy() for c in batch.columns])
+            held.append(batch)
             size += batch.num_rows
-            if size >= 1 << 17:
-                cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-                whole = int(np.searchsorted(cols[0], cols[0][-1]))  # sorted: the last key may go on
-                held, size = [[c[whole:] for c in cols]], len(cols[0]) - whole
+            if size >= 1 << 16:
+                some = pa.Table.from_batches(held)
+                keys = some.column(0).to_numpy()
+                whole = int(np.searchsorted(keys, keys[-1]))  # sorted: the last key may go on
                 if whole:
-                    yield from done([c[:whole] for c in cols])
+                    yield from done(some.slice(0, whole))
+                    held, size = some.slice(whole).to_batches(), size - whole
         if size:
-            yield from done([np.concatenate(x) for x in zip(*held, strict=True)])
+            yield from done(pa.Table.from_batches(held))
         held.clear()
         give_back()
 
     return rows.repartition("key").sortWithinPartitions("key", "na", "row").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, row: str, text_col: str, words: int) -> DataFrame:
-    """Those of the staged pairs ``(a, b)`` of row numbers whose sets are similar, staged; the pairs go."""
+def both(pairs: DataFrame, known: DataFrame, *cols: str) -> DataFrame:
+    """The pairs with columns of both rows."""
+    x, y = (known.select(F.col("row").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in cols]) for k in ("a", "b"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", *[f"{c}_{k}" for c in cols for k in ("a", "b")])
 
-    def both(pairs: DataFrame, known: DataFrame, *cols: str) -> DataFrame:
-        x, y = (known.select(F.col("row").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in cols]) for k in ("a", "b"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", *[f"{c}_{k}" for c in cols for k in ("a", "b")])
+
+def close(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs that bitmaps let be similar, staged."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 4096):
-            size = b.column(2).to_numpy() + b.column(3).to_numpy()
-            differ = np.array([differing(x, y) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)], dtype=np.int64)
-            # Similar sets differ in n + m - 2 * shared shingles at most.
-            ok = (NUMERATOR + DENOMINATOR) * (size - differ) >= 2 * NUMERATOR * size
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok))
+            n = np.column_stack([b.column(2).to_numpy(), b.column(3).to_numpy()])
+            ok = [near(0, 1, own, pair) for own, *pair in zip(n, b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
         give_back()
 
+    return stage(both(pairs, sets, "n", "bits").mapInArrow(compare, "a long, b long"), "close")
+
+
+def verified(close: DataFrame, rows: DataFrame, row: str, text_col: str, words: int) -> DataFrame:
+    """Those of the staged pairs ``(a, b)`` of row numbers whose sets are similar, staged; the former go."""
+
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t, words).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["row", "own"])
@@ -270,14 +294,13 @@ def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, row: str, text_
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
         give_back()
 
-    # Bitmaps first: whole sets are made and moved only of the few documents that they leave.
-    close = stage(both(pairs, sets, "n", "bits").mapInArrow(compare, "a long, b long"), "close")
+    # Whole sets are made and moved only of the few documents that bitmaps leave.
     wanted = stage(close.select(F.explode(F.array("a", "b")).alias(row)).distinct(), "wanted")
     few = wanted.count() <= LOOKED_UP
     text = rows.join(F.broadcast(wanted) if few else wanted, row, "left_semi").select(F.col(f"`{row}`").cast("long").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     whole = stage(text.mapInArrow(shingled, "row long, own binary"), "whole")
     out = stage(both(close, whole, "own").mapInArrow(verify, "a long, b long"), "similar")
-    unstage(pairs, close, wanted, whole)
+    unstage(close, wanted, whole)
     return out
 
 
@@ -307,11 +330,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     index = shared_index(without(wide.where("n > 0").select("row", "n", "tokens"), "row", equal.select("row")), hot)
     unstage(wide)
-    edges = verified(fingerprint_pairs(single.select("row", "fp"), distance), sets, rows, row, text_col, words)
+    asked = fingerprint_pairs(single.select("row", "fp"), distance)
+    edges = verified(close(asked, sets), rows, row, text_col, words)
+    unstage(asked)
     edges = edges.unionByName(equal.select(F.col("first").alias("a"), F.col("row").alias("b")))
     found = components(edges)
     for low, high in ROUNDS:
-        more = verified(proposals(index, found, low, high), sets, rows, row, text_col, words)
+        more = verified(proposals(index, found, sets, low, high), rows, row, text_col, words)
         if more.head(1):
             edges = edges.unionByName(more)
             found = components(edges)
