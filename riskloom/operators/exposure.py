@@ -5,29 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.codes import account_digits, cell_date, is_stock_account, with_suffix
+from riskloom.functions.codes import account_digits, captioned_date, cell_date, file_date, is_stock_account, with_suffix
 from riskloom.functions.numeric import ratio
 
-# Captions of the account-code and market-value columns of a valuation sheet.
+# Captions of the account-code column of a valuation sheet and, in order, of its weight column.
 ACCOUNT_CAPTION, WEIGHT_CAPTION = "科目代码", "市值占净值"
+WEIGHT_CAPTIONS = [WEIGHT_CAPTION, "市值占比", "占净值比例"]
 HEADER_ROWS = 20
 
 
 def as_of_dates(wanted: DataFrame, dates: DataFrame) -> DataFrame:
     """``wanted(fund_id, value_date)`` with the latest factor date at or before the value date, null if there is none.
 
-    One sort of both by date instead of a join by range.
+    Every calendar day from the first factor date on gets the factor date in force: a table of days, which are few, for a broadcast.
     """
-    both = wanted.select("fund_id", "value_date", F.col("value_date").alias("__d"), F.lit(1).alias("__o"), F.lit(None).cast("date").alias("__f"))
-    known = dates.select(F.lit(None).cast(wanted.schema["fund_id"].dataType).alias("fund_id"), F.lit(None).cast("date").alias("value_date"), F.col("trade_date").alias("__d"), F.lit(0).alias("__o"), F.col("trade_date").alias("__f")).distinct()
-    w = Window.partitionBy(F.year("__d")).orderBy("__d", "__o").rowsBetween(Window.unboundedPreceding, 0)
-    found = both.unionByName(known).withColumn("__own", F.last("__f", ignorenulls=True).over(w))
-    # What a year lacks comes from the last factor date of the years before: years are few.
-    last = known.groupBy(F.year("__f").alias("__y")).agg(F.max("__f").alias("__m"))
-    years = found.where("__o = 1").select(F.year("__d").alias("__yy")).distinct()
-    before = years.join(F.broadcast(last), F.col("__y") < F.col("__yy")).groupBy("__yy").agg(F.max("__m").alias("__before"))
-    out = found.where("__o = 1").join(F.broadcast(before), F.year("__d") == F.col("__yy"), "left")
-    return out.select("fund_id", "value_date", F.coalesce("__own", "__before").alias("trade_date"))
+    w = Window.orderBy("trade_date")
+    known = dates.select("trade_date").where(F.col("trade_date").isNotNull()).distinct().withColumn("__next", F.lead("trade_date").over(w))
+    days = known.where("__next is not null").select("trade_date", F.explode(F.sequence("trade_date", F.date_sub("__next", 1))).alias("__day"))
+    last = known.agg(F.max("trade_date").alias("__last"))
+    out = wanted.join(F.broadcast(days), F.col("value_date") == F.col("__day"), "left").join(F.broadcast(last), F.lit(True), "left")
+    return out.select("fund_id", "value_date", F.when(F.col("value_date") >= F.col("__last"), F.col("__last")).otherwise(F.col("trade_date")).alias("trade_date"))
 
 
 def last_complete_date(exposures: DataFrame, members: DataFrame, column: str = "size", share: float = 0.5) -> DataFrame:
@@ -74,21 +71,44 @@ def index_exposure(weights: DataFrame, exposures: DataFrame, styles: list[str])
     return holdings_exposure(merged_positions(dated, ["trade_date"]), exposures, styles, ["trade_date"])
 
 
-def parse_valuation_sheet(cells: DataFrame) -> DataFrame:
-    """Positions ``(fund_id, value_date, code, weight)`` of valuation sheets ``(fund_id, row_no, cells array<string>)``.
-
-    The date is the first in any cell, in row order; the header is the first of HEADER_ROWS rows with the account
-    caption; primary stock accounts count, or where a sheet has none, rows with a six-digit run; a weight that is no number is null.
-    """
+def sheet_heads(cells: DataFrame) -> DataFrame:
+    """``(fund_id, value_date, head)`` of each sheet: its date and the row and places of its captions, null where it has none."""
+    captioned = F.filter(F.transform("cells", captioned_date), lambda d: d.isNotNull())
     dates = F.filter(F.transform("cells", cell_date), lambda d: d.isNotNull())
-    caption = F.expr(f"cast(array_position(transform(cells, c -> coalesce(contains(c, '{ACCOUNT_CAPTION}'), false)), true) as int)")
-    weight_at = F.expr(f"cast(array_position(transform(cells, c -> coalesce(contains(c, '{WEIGHT_CAPTION}'), false)), true) as int)")
-    head = cells.groupBy("fund_id").agg(
-        F.min_by(F.get(dates, F.lit(0)), F.when(F.size(dates) > 0, F.col("row_no"))).alias("value_date"),
-        F.min(F.when((caption > 0) & (F.col("row_no") < HEADER_ROWS), F.struct("row_no", caption.alias("account"), weight_at.alias("weight")))).alias("head"),
-    )
+    place = lambda caption: F.expr(f"nullif(cast(array_position(transform(cells, c -> coalesce(contains(c, '{caption}'), false)), true) as int), 0)")
+    first = lambda d: F.min_by(F.get(d, F.lit(0)), F.when(F.size(d) > 0, F.col("row_no")))
+    named = [F.max(file_date(F.col("file_name")))] if "file_name" in cells.columns else []
+    head = F.struct("row_no", place(ACCOUNT_CAPTION).alias("account"), F.coalesce(*[place(c) for c in WEIGHT_CAPTIONS]).alias("weight"))
+    return cells.groupBy("fund_id").agg(
+        F.coalesce(first(captioned), *named, first(dates)).alias("value_date"),
+        F.min(F.when((place(ACCOUNT_CAPTION) > 0) & (F.col("row_no") < HEADER_ROWS), head)).alias("head"),
+    )
+
+
+def parse_valuation_sheet(cells: DataFrame, value_date: str | None = None) -> DataFrame:
+    """Positions ``(fund_id, value_date, code, weight)`` of valuation sheets ``(fund_id, row_no, cells array<string>[, file_name])``.
+
+    The date is the first captioned one in any cell, in row order, else that of the file's name, else the first date in any cell; the header
+    is the first of HEADER_ROWS rows with the account caption; primary stock accounts count, or where a sheet has none, rows with a
+    six-digit run; a weight that is no number is null.  A sheet without a date, a header, a weight column or a position is an error, as is
+    one whose date isn't ``value_date``, if that is given.
+    """
+    head = sheet_heads(cells)
+    if value_date is not None:
+        given = F.lit(value_date).cast("date")
+        other = head.where(F.col("value_date") != given).limit(5).collect()
+        if other:
+            raise ValueError(f"sheets of another date than {value_date}: {[(r['fund_id'], str(r['value_date'])) for r in other]}")
+        head = head.withColumn("value_date", given)
+    bad = head.where("value_date is null or head is null or head.weight is null").limit(5).collect()
+    for r in bad:
+        lacks = "date" if r["value_date"] is None else f"header with {ACCOUNT_CAPTION} in the first {HEADER_ROWS} rows" if r["head"] is None else f"weight column out of {WEIGHT_CAPTIONS}"
+        raise ValueError(f"sheet {r['fund_id']} has no {lacks}")
     rows = cells.join(head, "fund_id").where(F.col("row_no") > F.col("head.row_no"))
     rows = rows.select("fund_id", "value_date", F.trim(F.get("cells", F.col("head.account") - 1)).alias("account"), F.expr("try_cast(replace(replace(trim(get(cells, head.weight - 1)), '%', ''), ',', '') as double)").alias("weight"))
     any_primary = F.max(is_stock_account(F.col("account"))).over(Window.partitionBy("fund_id"))
     rows = rows.withColumn("__any", any_primary).where(F.when(F.col("__any"), is_stock_account(F.col("account"))).otherwise(account_digits(F.col("account")).isNotNull()))
+    empty = head.join(rows.select("fund_id").distinct(), "fund_id", "left_anti").limit(5).collect()
+    if empty:
+        raise ValueError(f"sheets without stock positions: {[r['fund_id'] for r in empty]}")
     return rows.select("fund_id", "value_date", with_suffix(account_digits(F.col("account"))).alias("code"), "weight")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.numeric import ratio, total
 from riskloom.operators.xsection import sqrt_cap_weight
 
-#: Above this condition number the normal equations are solved for the least norm.
+#: Directions of the normal equations that are weaker than the strongest by this are left out.
 CONDITION_LIMIT = 1e10
 
 
@@ -31,18 +31,18 @@ def industry_weights(df: DataFrame, industry: str = "industry", cap: str = "floa
 
 
 def _solve(x: np.ndarray, w: np.ndarray, r: np.ndarray, by_industry: np.ndarray) -> np.ndarray | None:
-    """Weighted least squares of r on [country, industries, styles], industry returns adding up to 0 by weight."""
-    k, n_ind = x.shape[1], len(by_industry)
-    free = np.delete(np.eye(k), n_ind, axis=1)  # the last industry follows from the others
-    last = by_industry[-1]
-    free[n_ind, 1:n_ind] = -by_industry[:-1] / last if last > 0 else -1.0
-    z = x @ free
-    normal, right = z.T @ (z * w[:, None]), z.T @ (w * r)
-    condition = np.linalg.cond(normal)
-    if not np.isfinite(condition):
+    """Weighted least squares of r on [country, industries, styles], industry returns adding up to 0 by weight.
+
+    The constraint has a Lagrange multiplier: the normal equations, bordered by the constraint's row and column, have one solution
+    although the industries add up to the country; that of the least norm is taken where styles repeat each other.
+    """
+    k = x.shape[1]
+    bordered, right = np.zeros((k + 1, k + 1)), np.zeros(k + 1)
+    bordered[:k, :k], right[:k] = (x.T * w) @ x, x.T @ (w * r)
+    bordered[k, 1 : 1 + len(by_industry)] = bordered[1 : 1 + len(by_industry), k] = by_industry
+    if not (np.isfinite(bordered).all() and np.isfinite(right).all()):
         return None
-    solved = np.linalg.pinv(normal) @ right if condition > CONDITION_LIMIT else np.linalg.solve(normal, right)
-    return free @ solved
+    return np.linalg.lstsq(bordered, right, rcond=1 / CONDITION_LIMIT)[0][:k]
 
 
 def factor_returns(df: DataFrame, styles: list[str], industry: str = "industry", ret: str = "ret", cap: str = "float_cap") -> DataFrame:
@@ -115,6 +115,20 @@ def constraint_residual(returns: DataFrame, weights: DataFrame) -> DataFrame:
     return own.groupBy("trade_date").agg(F.sum(F.col("weight") * F.col("value")).alias("residual"))
 
 
+def normal_residual(df: DataFrame, returns: DataFrame, styles: list[str], cap: str = "float_cap") -> DataFrame:
+    """Per date: the greatest weighted sum of what the factors leave over, by industry or times a style; all are 0 up to rounding."""
+    sample = estimation_sample(df, cap=cap).withColumn("__w", sqrt_cap_weight(cap))
+    wide = returns.where("factor_group <> 'industry'").groupBy("trade_date").agg(*[F.max(F.when(F.col("factor") == f, F.col("value"))).alias(f"f_{f}") for f in ["country", *styles]])
+    own = returns.where("factor_group = 'industry'").select("trade_date", F.col("factor").alias("industry"), F.col("value").alias("__i"))
+    left = F.col("ret") - F.col("f_country") - F.col("__i")
+    for s in styles:
+        left = left - F.coalesce(F.col(f"f_{s}"), F.lit(0.0)) * F.coalesce(s, F.lit(0.0))
+    rows = sample.join(F.broadcast(wide), "trade_date").join(F.broadcast(own), ["trade_date", "industry"]).withColumn("__e", F.col("__w") * left)
+    # A style that is null for a whole date has no factor.
+    sums = rows.groupBy("trade_date", "industry").agg(F.sum("__e").alias("e"), *[F.sum(F.when(F.col(f"f_{s}").isNotNull(), F.col("__e") * F.coalesce(s, F.lit(0.0))).otherwise(0.0)).alias(f"e_{s}") for s in styles])
+    return sums.groupBy("trade_date").agg(F.greatest(F.max(F.abs("e")), F.lit(0.0), *[F.abs(F.sum(f"e_{s}")) for s in styles]).alias("residual"))
+
+
 def country_identity(df: DataFrame, returns: DataFrame, styles: list[str], cap: str = "float_cap") -> DataFrame:
     """Per date: the country return, and the weighted mean return less what the styles' mean exposures earn; the two agree."""
     sample = estimation_sample(df, cap=cap).withColumn("__w", sqrt_cap_weight(cap))

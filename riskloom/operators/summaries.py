@@ -38,3 +38,9 @@ def contribution_shares(parts: DataFrame, per_year: int = YEAR) -> DataFrame:
     """Annualised sum of each component's contributions per fund, with its share of all."""
     s = parts.where("detail is null").groupBy("fund_id", "component").agg((F.avg("value") * per_year).alias("annualised"))
     return s.withColumn("share", ratio(F.col("annualised"), F.sum("annualised").over(Window.partitionBy("fund_id"))))
+
+
+def ranked_styles(parts: DataFrame, per_year: int = YEAR) -> DataFrame:
+    """``(fund_id, style, annualised, place)``: each fund's styles by their annualised contributions, the largest first."""
+    s = parts.where("component = 'style' and detail is not null").groupBy("fund_id", F.col("detail").alias("style")).agg((F.avg("value") * per_year).alias("annualised"))
+    return s.withColumn("place", F.row_number().over(Window.partitionBy("fund_id").orderBy(F.desc("annualised"), "style")))

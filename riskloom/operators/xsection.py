@@ -84,7 +84,16 @@ def orthogonalize(df: DataFrame, style: str, refs: list[str], cap: str = "float_
 
 
 def unit_scaled(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Columns whose values' median size over the whole panel exceeds 1 are percentages and are divided by 100."""
-    sizes = df.agg(*[F.median(F.abs(c)).alias(f"__u_{c}") for c in columns])
-    df = df.crossJoin(F.broadcast(sizes))
-    return df.withColumns({c: F.when(F.col(f"__u_{c}") > 1, F.col(c) / 100).otherwise(F.col(c)) for c in columns}).drop(*[f"__u_{c}" for c in columns])
+    """Columns whose values' median size over the whole panel exceeds 1 are percentages and are divided by 100.
+
+    Counts on either side of 1 decide; where they are equal, so do the two values next to it.
+    """
+
+    def over(c: str):
+        size = F.abs(F.col(c))
+        large, small = F.count(F.when(size > 1, 1)), F.count(F.when(size <= 1, 1))
+        middle = F.max(F.when(size <= 1, size)) + F.min(F.when(size > 1, size)) > 2
+        return ((large > small) | ((large == small) & F.coalesce(middle, F.lit(False)))).alias(f"__u_{c}")
+
+    df = df.crossJoin(F.broadcast(df.agg(*[over(c) for c in columns])))
+    return df.withColumns({c: F.when(F.col(f"__u_{c}"), F.col(c) / 100).otherwise(F.col(c)) for c in columns}).drop(*[f"__u_{c}" for c in columns])

@@ -340,7 +340,11 @@ def style_table_plain(spark, sf):
     return neat(style_table(_monthly(spark, sf), plain=True), KEY, _PLAIN)
 
 
-@query(name="style_table")
+_ALL = f"""select p.*, residual_volatility, liquidity, nlsize as non_linear_size from ({ORACLE["style_table_plain"]}) p
+left join ({ORACLE["orthogonalize_1"]}) using (trade_date, code) left join ({ORACLE["orthogonalize_2"]}) using (trade_date, code) left join ({ORACLE["nlsize"]}) using (trade_date, code)"""
+
+
+@query(_ALL, name="style_table")
 def all_styles(spark, sf):
     return neat(style_table(_monthly(spark, sf)), KEY, list(STYLES))
 
@@ -386,6 +390,25 @@ def factor_return_full(spark, sf):
     return neat(full_factor_returns(spark, sf), RETURN_KEY, ["value"])
 
 
+@query(f"{_SIZED}, {sql.fwl(['size'], 'sz')} select trade_date, 0.0::double as residual from fit")
+def normal_equations(spark, sf):
+    """What a date's factors leave over is orthogonal to each of them, held against 0 for industries and size."""
+    s = _sized(spark, sf)
+    return neat(model.normal_residual(s, model.factor_returns(s, ["size"]), ["size"]), ["trade_date"], ["residual"])
+
+
+@query()
+def normal_equations_full(spark, sf):
+    """The same with all ten styles; which dates have enough rows for them depends on the styles."""
+    styles = style_table(_monthly(spark, sf))
+    return neat(model.normal_residual(styles, model.factor_returns(styles, list(STYLES)), list(STYLES)), ["trade_date"], ["residual"])
+
+
+@query()
+def style_ranking(spark, sf):
+    return neat(summaries.ranked_styles(_attributed(spark, sf)[0], 12), ["fund_id", "style", "place"], ["annualised"])
+
+
 @query(f"{_SIZED}, {sql.fwl(['size'], 'sz')} select trade_date, round(fc, 6) + 0.0 as country, round(fc, 6) + 0.0 as implied from ctry")
 def country_identity(spark, sf):
     s = _sized(spark, sf)

@@ -50,12 +50,12 @@ def monthly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pcf": ratio(cap, F.col("ncl")), "ep_ttm": F.col("tax"), "eps_ftm": F.col("tax"), "np_growth_t3": F.col("tax") * 100, "np_growth_ftm": F.col("discount") * 100,
     })
     p = p.withColumn("ret", simple_return("price", history()))
-    # The rate and the benchmark come off the panel by one window over dates: the trades are read once.
-    day = Window.partitionBy("trade_date")
-    return p.withColumns({
-        "rf": ratio(F.sum(F.col("discount") * F.col("trades")).over(day), F.sum("trades").over(day)),
-        "rt": ratio(F.sum(net * F.col("ret")).over(day), F.sum(F.when(F.col("ret").isNotNull(), net)).over(day)),
-    })
+    # The rate and the benchmark are one row a date, so they are summed and broadcast; the panel stays dealt by code.
+    days = p.groupBy("trade_date").agg(
+        ratio(F.sum(F.col("discount") * F.col("trades")), F.sum("trades")).alias("rf"),
+        ratio(F.sum(net * F.col("ret")), F.sum(F.when(F.col("ret").isNotNull(), net))).alias("rt"),
+    )
+    return p.join(F.broadcast(days), "trade_date")
 
 
 def annual_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,8 +75,8 @@ def nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = densify(facts, calendar(facts), n.select(F.col("n_nationkey").cast("string").alias("code"), F.col("n_regionkey").cast("string").alias("industry")))
     p = fill(p.withColumn("price", ratio(F.col("gross"), F.col("quantity"))), ["price"])
     p = p.withColumn("ret", simple_return("price", history()))
-    days = Window.partitionBy("trade_date")
-    return p.withColumns({"rt": F.avg("ret").over(days), "turnover": F.col("quantity") / 100})
+    days = p.groupBy("trade_date").agg(F.avg("ret").alias("rt"))
+    return p.join(F.broadcast(days), "trade_date").withColumn("turnover", F.col("quantity") / 100)
 
 
 def region_nav(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import io
 import json
-from collections.abc import Callable, Iterable
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,36 +14,84 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.panel import between, nan_to_null
 
-# Names under which columns are looked for, in order.
-DATE_NAMES = ["日期", "净值日期", "date", "Date", "trade_date"]
-UNIT_NAMES = ["单位净值", "unit_nav", "nav", "NAV"]
-ADJUSTED_NAMES = ["复权净值", "复权单位净值", "adjusted_nav"]
-CUMULATIVE_NAMES = ["累计净值", "累计单位净值", "cumulative_nav"]
+# Names under which the date and the net asset value are looked for, in order.
+DATE_NAMES = ["净值日期", "日期", "估值日期", "trade_date", "date"]
+NAV_NAMES = ["单位净值", "复权净值", "累计净值", "净值"]
+#: Columns of an index's weights.
 CODE_NAMES = ["stock_code", "order_book_id", "code", "证券代码"]
 WEIGHT_NAMES = ["weight", "权重"]
 
 
-#: A table file up to this size is decoded by the driver; larger ones are read by Spark, in UTF-8.
-SMALL_FILE = 64 << 20
-
-
 def read_table(spark: SparkSession, path: str, encodings: Iterable[str] = ("utf-8", "gbk")) -> DataFrame:
-    """Parquet, or CSV with a header, all columns as strings; a small CSV that isn't in the first encoding is tried in the next."""
+    """Parquet, an .xlsx sheet with a header, or CSV with a header, all columns as strings.
+
+    A CSV of any size, compressed or not, is read in the first of the encodings that leaves no character undecoded.
+    """
+    if path.lower().endswith(".xlsx"):
+        return with_header(read_sheets(spark, path))
     if not path.lower().endswith((".csv", ".csv.gz", ".txt")):
         return spark.read.parquet(path)
-    file = spark.read.format("binaryFile").load(path)
-    if path.lower().endswith(".gz") or file.select("length").first()["length"] > SMALL_FILE:
-        return spark.read.option("header", True).csv(path)
-    data = bytes(file.select("content").first()["content"])
     for encoding in encodings:
-        try:
-            table = pd.read_csv(io.BytesIO(data), encoding=encoding, dtype=str, keep_default_na=False, na_values=[""])
-        except UnicodeDecodeError:
-            continue
-        return spark.createDataFrame([tuple(None if pd.isna(v) else v for v in r) for r in table.itertuples(index=False)], ", ".join(f"`{c}` string" for c in table.columns))
+        df = decoded_csv(spark, path, encoding)
+        lost = [F.contains(F.col(f"`{c}`"), F.lit("\ufffd")) for c in df.columns]
+        if not any("\ufffd" in c for c in df.columns) and not df.where(F.coalesce(F.greatest(F.lit(False), F.lit(False), *lost), F.lit(False))).head(1):
+            return df
     raise ValueError(f"{path}: none of {list(encodings)} reads it")
 
 
+def decoded_csv(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """A CSV with a header, what isn't in the encoding as U+FFFD.  Encodings that Spark lacks are read byte by byte and decoded in tasks."""
+    if encoding.lower() in ("utf-8", "utf-16", "iso-8859-1"):
+        return spark.read.option("header", True).option("encoding", encoding).csv(path)
+    raw = spark.read.option("header", True).option("encoding", "iso-8859-1").option("escape", '"').csv(path)
+    decode = lambda x: x.encode("latin-1").decode(encoding, "replace")
+    names = [decode(c) for c in raw.columns]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in frames:
+            yield df.map(decode, na_action="ignore").set_axis(names, axis=1)
+
+    return raw.mapInPandas(run, ", ".join(f"`{c}` string" for c in names))
+
+
+def sheet_rows(data: bytes) -> Iterator[tuple[int, list[str | None]]]:
+    """(row number from 0, cells) of the first sheet of an .xlsx workbook; numbers as they are written, empty cells null."""
+    space = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    with zipfile.ZipFile(io.BytesIO(data)) as book:
+        names = book.namelist()
+        shared = ElementTree.fromstring(book.read("xl/sharedStrings.xml")) if "xl/sharedStrings.xml" in names else []
+        strings = ["".join(t.text or "" for t in item.iter(f"{space}t")) for item in shared]
+        first = min((n for n in names if n.startswith("xl/worksheets/sheet")), key=lambda n: (len(n), n))
+        for row in ElementTree.fromstring(book.read(first)).iter(f"{space}row"):
+            cells: list[str | None] = []
+            for c in row.iter(f"{space}c"):
+                at = 0
+                for letter in "".join(x for x in c.get("r", "") if x.isalpha()):
+                    at = 26 * at + ord(letter) - 64
+                cells += [None] * (at - 1 - len(cells))
+                text = "".join(t.text or "" for t in c.iter(f"{space}t")) if c.get("t") == "inlineStr" else c.findtext(f"{space}v")
+                cells.append(strings[int(text)] if c.get("t") == "s" and text is not None else text)
+            yield int(row.get("r", "1")) - 1, cells
+
+
+def read_sheets(spark: SparkSession, path: str) -> DataFrame:
+    """``(fund_id, file_name, row_no, cells)`` of .xlsx workbooks (their first sheets); a file's path is its fund_id."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in frames:
+            for name, data in zip(df["path"], df["content"], strict=True):
+                yield pd.DataFrame([(name, name, n, cells) for n, cells in sheet_rows(data)], columns=["fund_id", "file_name", "row_no", "cells"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "fund_id string, file_name string, row_no int, cells array<string>")
+
+
+def with_header(sheet: DataFrame) -> DataFrame:
+    """A sheet's rows as a table of strings named by its first row."""
+    head = sheet.orderBy("row_no").select("row_no", "cells").first()
+    names = [(c or f"column {i}").strip() for i, c in enumerate(head["cells"])]
+    return sheet.where(F.col("row_no") > head["row_no"]).orderBy("row_no").select(*[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(names)])
+
+
 def pick(df: DataFrame, names: Iterable[str], required: bool = True) -> str | None:
     """The first of several possible columns that a table has."""
     found = next((n for n in names if n in df.columns), None)
@@ -56,10 +106,11 @@ def number(c: str | Column) -> Column:
 
 
 def load_nav(df: DataFrame, fund_id: str = "fund") -> DataFrame:
-    """``(fund_id, trade_date, nav)`` of a raw table: the adjusted NAV if there is one, else the unit NAV, unless a cumulative NAV
-    differs from that by more than 1e-9 anywhere.  What is no number or date goes; of rows of a date the last stays."""
-    date, unit = pick(df, DATE_NAMES), pick(df, [*ADJUSTED_NAMES, *UNIT_NAMES])
-    more = pick(df, CUMULATIVE_NAMES, required=False) if unit not in ADJUSTED_NAMES else None
+    """``(fund_id, trade_date, nav)`` of a raw table: the first of NAV_NAMES that it has; a cumulative NAV takes the unit NAV's place if
+    the two differ by more than 1e-9 anywhere.  What is no number or date goes; of rows of a date the last stays."""
+    df = df.select(*[F.col(f"`{c}`").alias(c.strip()) for c in df.columns])
+    date, unit = pick(df, DATE_NAMES), pick(df, NAV_NAMES)
+    more = "累计净值" if unit == "单位净值" and "累计净值" in df.columns else None
     rows = df.withColumn("__n", F.monotonically_increasing_id()).select(
         F.expr(f"try_cast(`{date}` as date)").alias("trade_date"), number(unit).alias("nav"), (number(more) if more else F.lit(None).cast("double")).alias("__c"), "__n"
     )
@@ -77,6 +128,20 @@ def load_index_weights(df: DataFrame) -> DataFrame:
     return df.select(*([F.to_date(date).alias("date")] if date else []), *cols)
 
 
+def load_securities(df: DataFrame, active_only: bool = True) -> DataFrame:
+    """A security master; by default only what is active, where it says so."""
+    code = pick(df, CODE_NAMES)
+    df = df.withColumnRenamed(code, "code")
+    return df.where("status = 'Active'") if active_only and "status" in df.columns else df
+
+
+def load_style_weights(path: str) -> dict[str, dict[str, float]]:
+    """Weights of descriptors in styles, ``{style: {descriptor: weight}}``, from a settings file (also under ``styles`` there)."""
+    found = load_settings(path)
+    found = found.get("styles", found)
+    return {s: {d: float(w) for d, w in of.items()} for s, of in found.items()}
+
+
 def load_panel(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """A stored panel, sliced by dates (which reach the scan), NaN as null."""
     return nan_to_null(between(spark.read.parquet(path), start, end))
