@@ -15,7 +15,9 @@ def test_same_as_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(ORACLE)))
 def test_runs(spark, name):
-    assert registry.queries()[name](spark, DATA).schema
+    rows = registry.queries()[name](spark, DATA).collect()
+    if name == "normal_equations_full":
+        assert all(r["residual"] == 0 for r in rows)
 
 
 def test_entry(spark):
