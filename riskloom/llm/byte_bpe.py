@@ -28,7 +28,7 @@ from riskloom.llm.common import read, slices
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Characters of a chunk and of its overlap with the next one, and the length up to which a text is one chunk.
-CHUNK, OVERLAP, LONG = 8_192, 256, 8_192
+CHUNK, OVERLAP, LONG = 16_384, 256, 16_384
 _loaded: dict[str, "Encoder"] = {}
 
 

@@ -100,7 +100,7 @@ def test_stitching_without_borders_reads_in_proportion():
 
 
 def test_all_texts_over_a_chunk_are_cut(spark):
-    texts = ["word " * 5000, "x" * 30_000, " \n" * 9000, "é1 " * 8192, "a" * 8192, "b" * 8193]
+    texts = ["word " * 5000, "x" * 30_000, " \n" * 9000, "é1 " * 8192, "a" * 16_384, "b" * 16_385]
     got = {r["doc_id"]: r["ids"] for r in byte_bpe.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert all(got[i] == byte_bpe.encoder().exact.encode_ordinary(t) for i, t in enumerate(texts))
 
