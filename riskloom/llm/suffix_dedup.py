@@ -13,7 +13,7 @@ place, so windows are dealt to shards by it, in maximal stretches that share one
    document id decides which of its windows go.
 5. The intervals go back to the buckets, are merged and cut out.
 
-Memory: a task holds one bucket (``bucket_bytes``, or the longest document), one range's minimizers (RANGE_BYTES of text), or one
+Memory: a task holds one bucket (``bucket_bytes``, or the longest document) with STRINGS of its strings at a time, one range's minimizers (RANGE_BYTES of text), or one
 sort; strings of one part of a shard beyond ``sort_bytes`` are sorted all the same, from scratch files.
 
 Defined cases: a null text is empty; rows that share an id don't remove from each other; null ids count as greater than
@@ -38,8 +38,8 @@ from riskloom.llm.induced_sort import MEMORY_QUEUE, Queue, room, sorted_blocks
 LENGTH, GRAM = 50, 24
 #: Text bytes of a bucket, of a piece that is hashed at once, of a suffix sort, and of the texts that a range of minimizers comes from.
 BUCKET_BYTES, HASH_BYTES, SORT_BYTES, RANGE_BYTES = 16 << 20, 1 << 17, 1 << 20, 64 << 20
-#: Stretches from which on a minimizer is hot, and the parts of a shard that are spooled apart.
-HOT, PARTS = 4096, 64
+#: Stretches from which on a minimizer is hot, the parts of a shard that are spooled apart, and strings that a bucket compares at once.
+HOT, PARTS, STRINGS = 4096, 64, 1 << 15
 NO_ID = np.iinfo(np.int64).max
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = (np.arange(1, 257, dtype=np.uint64) * MIX) ^ (np.arange(1, 257, dtype=np.uint64) << np.uint64(29))
@@ -101,6 +101,16 @@ def hashed(data: np.ndarray, edges: np.ndarray, length: int, gram: int) -> tuple
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def window_keys(data: np.ndarray, begin: np.ndarray, length: int) -> np.ndarray:
+    """A number of 48 bits for each window of ``length`` bytes, of which ``begin`` has the starts in ascending order."""
+    out = np.empty(len(begin), dtype=np.uint64)
+    for at in range(0, len(data), HASH_BYTES):
+        a, z = np.searchsorted(begin, [at, at + HASH_BYTES])
+        if a < z:
+            out[a:z] = spread(gram_hashes(data[at : at + HASH_BYTES + length - 1], length)[begin[a:z] - at])
+    return out
+
+
 def spread(keys: np.ndarray) -> np.ndarray:
     """Minimizers as evenly spread numbers of 48 bits: least hashes crowd near zero."""
     return (keys * MIX) >> np.uint64(16)
@@ -174,8 +184,8 @@ def words(data: np.ndarray, start: np.ndarray, size: np.ndarray, most: int) -> n
     return out.view(np.uint64)
 
 
-def alike(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, group, hash): strings in an order in which equal ones meet, the group of each place, and each string's hash."""
+def alike(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, group): strings in an order in which equal ones meet, and the group of each place."""
     h = size.astype(np.uint64) * MIX
     for i in range(rows.shape[1]):
         h = (h ^ rows[:, i]) * MIX
@@ -185,7 +195,7 @@ def alike(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     a, z = order[:-1], order[1:]
     # Strings of one hash that differ, if there ever are any, are groups of their own.
     new[1:] = (h[a] != h[z]) | (size[a] != size[z]) | (rows[a] != rows[z]).any(axis=1)
-    return order, np.cumsum(new) - 1, h
+    return order, np.cumsum(new) - 1
 
 
 def flat(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -221,7 +231,7 @@ def decided(strings: np.ndarray, sizes: np.ndarray, owner: np.ndarray, ids: np.n
         edge = np.append(0, np.cumsum(own))
         data = strings[done : done + edge[-1]]
         rows = words(data, edge[:-1], own, int(own.max()))
-        order, group, _ = alike(rows, own)
+        order, group = alike(rows, own)
         number[a + order] = base + group
         one = order[heads(group)]
         some.append(flat(rows[one], own[one]))
@@ -343,6 +353,30 @@ def intervals(rows: DataFrame, size: int, length: int, gram: int, sort_bytes: in
             return table([[], [], []], names, kinds)
         data, edges = joined(t["text"])
         ids, numbers, bucket = t["id"].to_numpy(), t["row"].to_numpy(), t["bucket"][0].as_py()
+
+        def strings(start: np.ndarray, end: np.ndarray, key: np.ndarray, doc: np.ndarray) -> list[tuple[int, int, bytes]]:
+            """Messages of some strings, with all that the bucket has for their shards."""
+            sizes = end - start
+            string = words(data, start, sizes, length + width - 1)
+            order, group = alike(string, sizes)
+            first = heads(group)
+            least = np.minimum.reduceat(ids[doc[order]], first)
+            kept = ids[doc[order]] == least[group]
+            over = order[~kept]
+            sent = [(-1, bucket, x) for _, x in by_bucket(np.full(len(over), bucket), numbers[doc[over]], start[over] - edges[doc[over]], end[over] - edges[doc[over]])]
+            rep, occurrence = order[first], order[kept]
+            count = np.add.reduceat(kept, first, dtype=np.int64)
+            begin = np.cumsum(count) - count
+            by = np.argsort(key[rep], kind="stable")
+            shard = part_of(key[rep][by], shards)
+            for a, z in spans(heads(shard), len(by)):
+                s = by[a:z]
+                own = occurrence[repeated(begin[s], count[s])]
+                docs, local = np.unique(doc[own], return_inverse=True)
+                part = part_of(key[rep[s]] * np.uint64(shards) & np.uint64((1 << 48) - 1), PARTS).astype(np.uint8)
+                sent.append((int(shard[a]), -1 - bucket, pack(part, sizes[rep[s]].astype(np.uint16), count[s].astype(np.uint32), flat(string[rep[s]], sizes[rep[s]]), local.astype(np.uint32), (start[own] - edges[doc[own]]).astype(np.uint32), numbers[docs], ids[docs])))
+            return sent
+
         start, end, key, doc = hashed(data, edges, length, gram)
         key = spread(key)
         parts = [unpack(x) for x in known["keys"].to_pylist()]
@@ -359,33 +393,23 @@ def intervals(rows: DataFrame, size: int, length: int, gram: int, sort_bytes: in
         start, end, key, doc = start[hit], end[hit], key[hit], doc[hit]
         if not len(key):
             return table([[], [], []], names, kinds)
-        # Of a hot minimizer each window is a string.
-        many = np.where(inside(key, hot), end - start - length + 1, 1)
-        cut = np.repeat(inside(key, hot), many)
-        start, end, key, doc = repeated(start, many), np.repeat(end, many), np.repeat(key, many), np.repeat(doc, many)
-        end[cut] = start[cut] + length
-        sizes = end - start
-        string = words(data, start, sizes, length + width - 1)
-        order, group, h = alike(string, sizes)
-        key = np.where(cut, h >> np.uint64(16), key)
-        first = heads(group)
-        least = np.minimum.reduceat(ids[doc[order]], first)
-        kept = ids[doc[order]] == least[group]
-        over = order[~kept]
-        sent = [(-1, x) for _, x in by_bucket(np.full(len(over), bucket), numbers[doc[over]], start[over] - edges[doc[over]], end[over] - edges[doc[over]])]
-        rep, occurrence = order[first], order[kept]
-        count = np.add.reduceat(kept, first, dtype=np.int64)
-        begin = np.cumsum(count) - count
-        by = np.argsort(key[rep], kind="stable")
-        shard = part_of(key[rep][by], shards)
-        for a, z in spans(heads(shard), len(by)):
-            s = by[a:z]
-            own = occurrence[repeated(begin[s], count[s])]
-            docs, local = np.unique(doc[own], return_inverse=True)
-            part = part_of(key[rep[s]] * np.uint64(shards) & np.uint64((1 << 48) - 1), PARTS).astype(np.uint8)
-            sent.append((int(shard[a]), pack(part, sizes[rep[s]].astype(np.uint16), count[s].astype(np.uint32), flat(string[rep[s]], sizes[rep[s]]), local.astype(np.uint32), (start[own] - edges[doc[own]]).astype(np.uint32), numbers[docs], ids[docs])))
+        cut = inside(key, hot)
+        if cut.any():
+            # Of a hot minimizer each window is a string, under its own hash.
+            many = end[cut] - start[cut] - length + 1
+            begin = repeated(start[cut], many)
+            doc = np.concatenate([doc[~cut], np.repeat(doc[cut], many)])
+            start, end = np.concatenate([start[~cut], begin]), np.concatenate([end[~cut], begin + length])
+            key = np.concatenate([key[~cut], window_keys(data, begin, length)])
+        # A few strings are held at a time: those of as many whole shards as come to STRINGS.
+        order, sent = np.argsort(key, kind="stable"), []
+        first = heads(part_of(key[order], shards))
+        cuts = np.append(first[:1], first[1:][np.diff(first // STRINGS) > 0])
+        for a, z in spans(cuts, len(order)):
+            at = order[a:z]
+            sent += strings(start[at], end[at], key[at], doc[at])
         give_back()
-        return table([[max(0, s) if s >= 0 else bucket % shards for s, _ in sent], [bucket if s < 0 else -1 - bucket for s, _ in sent], [x for _, x in sent]], names, kinds)
+        return table([[s if s >= 0 else bucket % shards for s, _, _ in sent], [b for _, b, _ in sent], [x for _, _, x in sent]], names, kinds)
 
     pieces = rows.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(extract, "shard int, bucket int, data binary")
 

@@ -53,9 +53,22 @@ def test_random_text_sorts_in_time():
     assert len(pos) == len(t) and time.time() - began < 30
 
 
-@pytest.mark.parametrize("hot", [4096, 5])
-def test_hot_minimizers_go_by_windows(spark, monkeypatch, hot):
+def test_keys_of_windows_depend_on_their_bytes_alone(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HASH_BYTES", 100)
+    data = np.frombuffer(bytes(random.Random(5).choices(b"ab", k=60)) * 9, dtype=np.uint8)
+    begin = np.array([0, 3, 49, 50, 51, 60, 99, 100, 101, 160, 219, 400, 490])
+    keys = suffix_dedup.window_keys(data, begin, 50)
+    of = {}
+    for b, k in zip(begin.tolist(), keys.tolist(), strict=True):
+        assert of.setdefault(data[b : b + 50].tobytes(), k) == k < 1 << 48
+    assert len(set(keys.tolist())) == len(of) == len({b % 60 for b in begin.tolist()})
+    assert not len(suffix_dedup.window_keys(data, begin[:0], 50))
+
+
+@pytest.mark.parametrize(("hot", "strings"), [(4096, 1 << 15), (5, 1 << 15), (5, 3), (4096, 3)])
+def test_hot_minimizers_go_by_windows(spark, monkeypatch, hot, strings):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "STRINGS", strings)
     r = random.Random(2)
     line, rows = "the same licence line of some sixty characters, in most texts", []
     for i in range(80):
