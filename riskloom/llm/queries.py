@@ -6,7 +6,10 @@ import importlib
 
 import corpus_pipeline
 
-MODULES = ["warc_derivatives", "language_id", "suffix_dedup", "vector_search", "chat_format", "byte_bpe", "simhash_dedup", "exact_dedup", "packing", "url_filter"]
+MODULES = [
+    "warc_derivatives", "language_id", "suffix_dedup", "vector_search", "chat_format", "byte_bpe", "simhash_dedup", "exact_dedup", "packing", "url_filter",
+    "secret_scan", "vector_codes", "filter_audit",
+]
 
 
 def _collect(attribute: str) -> dict:
