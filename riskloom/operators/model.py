@@ -4,20 +4,28 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.numeric import ratio, total
+from riskloom.functions.numeric import total
+from riskloom.operators.gram import WEAK_PIVOT, added, centred_products, dot, eliminate, zeros
 from riskloom.operators.xsection import sqrt_cap_weight
+from riskloom.sources.staging import staged
 
 #: Directions of the normal equations that are weaker than the strongest by this are left out.
 CONDITION_LIMIT = 1e10
 
 
+def composed(columns: list[str], weights: dict[str, float]) -> Column | None:
+    """Weighted sum of the descriptors among ``columns``; null if one of them is.  Absent ones add nothing, and weights stay."""
+    have = {d: w for d, w in weights.items() if d in columns}
+    return total([F.col(d) * w for d, w in have.items()]) if have else None
+
+
 def compose(df: DataFrame, style: str, weights: dict[str, float]) -> DataFrame:
-    """Weighted sum of the descriptors that the frame has; null if one of them is.  Absent ones add nothing, and weights stay."""
-    have = {d: w for d, w in weights.items() if d in df.columns}
-    return df.withColumn(style, total([F.col(d) * w for d, w in have.items()])) if have else df
+    """The frame with a style, if it has any of its descriptors."""
+    made = composed(df.columns, weights)
+    return df if made is None else df.withColumn(style, made)
 
 
 def estimation_sample(df: DataFrame, industry: str = "industry", ret: str = "ret", cap: str = "float_cap") -> DataFrame:
@@ -30,83 +38,106 @@ def industry_weights(df: DataFrame, industry: str = "industry", cap: str = "floa
     return df.withColumn("__w", sqrt_cap_weight(cap)).groupBy("trade_date", industry).agg(F.sum("__w").alias("weight"))
 
 
-def _solve(x: np.ndarray, w: np.ndarray, r: np.ndarray, by_industry: np.ndarray) -> np.ndarray | None:
-    """Weighted least squares of r on [country, industries, styles], industry returns adding up to 0 by weight.
+def normal_equations(cells: list, have: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Matrix and right side for [country, industries, styles], and the industries' weights, of one date's cells."""
+    w = np.array([c["w"] for c in cells], dtype=float)
+    w /= w.sum()
+    total = sum(c["w"] for c in cells)
+    m = np.array([list(c["m"]) for c in cells], dtype=float)
+    g = sum(np.array([list(r) for r in c["g"]], dtype=float).reshape(-1, m.shape[1]) for c in cells) / total
+    styles, ret = m[:, have], m[:, -1]
+    top = w @ styles
+    x = np.block([
+        [np.ones((1, 1)), w[None, :], top[None, :]], [w[:, None], np.diag(w), w[:, None] * styles],
+        [top[:, None], (w[:, None] * styles).T, g[np.ix_(have, have)] + (styles.T * w) @ styles],
+    ])
+    return x, np.concatenate([[w @ ret], w * ret, g[have, -1] + styles.T @ (w * ret)]), w
+
+
+def least_norm(x: np.ndarray, right: np.ndarray, by_industry: np.ndarray) -> np.ndarray | None:
+    """Returns of [country, industries, styles] from normal equations, industry returns adding up to 0 by weight.
 
-    The constraint has a Lagrange multiplier: the normal equations, bordered by the constraint's row and column, have one solution
+    The constraint has a Lagrange multiplier: the equations, bordered by the constraint's row and column, have one solution
     although the industries add up to the country; that of the least norm is taken where styles repeat each other.
     """
-    k = x.shape[1]
-    bordered, right = np.zeros((k + 1, k + 1)), np.zeros(k + 1)
-    bordered[:k, :k], right[:k] = (x.T * w) @ x, x.T @ (w * r)
+    k = len(x)
+    bordered, side = np.zeros((k + 1, k + 1)), np.zeros(k + 1)
+    bordered[:k, :k], side[:k] = x, right
     bordered[k, 1 : 1 + len(by_industry)] = bordered[1 : 1 + len(by_industry), k] = by_industry
-    if not (np.isfinite(bordered).all() and np.isfinite(right).all()):
+    if not (np.isfinite(bordered).all() and np.isfinite(side).all()):
         return None
-    return np.linalg.lstsq(bordered, right, rcond=1 / CONDITION_LIMIT)[0][:k]
+    return np.linalg.lstsq(bordered, side, rcond=1 / CONDITION_LIMIT)[0][:k]
+
+
+def date_equations(df: DataFrame, styles: list[str], industry: str = "industry", ret: str = "ret", cap: str = "float_cap") -> DataFrame:
+    """One row a date that has more rows than factors: its industries' cells, which styles it has, their returns, and the least pivot.
+
+    Styles and returns are taken less their industry means, so only the styles' own equations are left to solve.
+    A date's row holds a cell for each industry, whatever the number of securities.
+    """
+    sample = estimation_sample(df, industry, ret, cap).select("trade_date", F.col(industry).alias("industry"), F.col(ret).alias("ret"), F.sqrt(cap).alias("root"), *styles)
+    cells = centred_products(sample, ["trade_date", "industry"], "root", styles, "ret")
+    s = len(styles)
+    days = cells.groupBy("trade_date").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.sort_array(F.collect_list(F.struct("industry", "w", "m", "g", "have"))).alias("cells"))
+    counted = F.aggregate("cells", F.array_repeat(F.lit(0).cast("bigint"), s), lambda a, c: F.zip_with(a, c["have"], lambda x, y: x + y))
+    days = days.withColumn("have", F.transform(counted, lambda x: x > 0))
+    days = days.where(F.col("n") > 1 + F.size("cells") + F.size(F.filter("have", lambda x: x)))
+    w = F.col("w")
+    g = F.aggregate("cells", F.array_repeat(zeros(s + 1), s), lambda a, c: F.zip_with(a, c["g"], lambda x, y: F.zip_with(x, y, lambda u, v: u + v)))
+    square = added(F.transform("cells", lambda c: F.transform(F.slice(c["m"], 1, s), lambda m: c["w"] * m * m)), zeros(s)) if s else zeros(0)
+    days = days.withColumns({"g": F.transform(g, lambda row: F.transform(row, lambda v: v / w)), "square": F.transform(square, lambda v: v / w)})
+    # A style that the date lacks gets an equation of its own, with 0 for a solution.
+    there = lambda i: F.coalesce(F.get("have", i), F.lit(False))
+    rows = F.transform("g", lambda row, i: F.transform(row, lambda v, j: F.when(there(i) & (there(j) | (j == s)), v).when(i == j, F.lit(1.0)).otherwise(F.lit(0.0))))
+    scale = F.transform("g", lambda row, i: F.when(there(i), F.get(row, i) + F.get("square", i)).otherwise(F.lit(1.0)))
+    solved = days.withColumn("solved", eliminate(rows, scale, s))
+    return solved.select("trade_date", "n", "w", "cells", "have", F.transform("solved.m", lambda row: F.get(row, F.lit(s))).alias("f"), F.col("solved.least").alias("least"))
+
+
+RETURNS = "trade_date date, factor_group string, factor string, value double"
 
 
 def factor_returns(df: DataFrame, styles: list[str], industry: str = "industry", ret: str = "ret", cap: str = "float_cap") -> DataFrame:
-    """``(trade_date, factor_group, factor, value)`` of the constrained regression of each date.
+    """``(trade_date, factor_group, factor, value)`` of the constrained regression of each date, for any number of styles.
 
     Styles that are null for the whole sample of a date leave it; other nulls are neutral (0).  A date with no more
-    rows than factors gives none.  A group is one date's cross-section.
+    rows than factors gives none.  Dates whose styles repeat each other (a pivot below WEAK_PIVOT) get the solution of the least norm, from
+    the same sums: a group then is the date's industries.  The equations, a row a date, are written once.
     """
-
-    def one_day(day: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame(columns=["trade_date", "factor_group", "factor", "value"], dtype=object)
-        have = [s for s in styles if day[s].notna().any()]
-        names = np.sort(day["industry"].unique())
-        if len(day) <= 1 + len(names) + len(have):
-            return none
-        dummies = (day["industry"].to_numpy()[:, None] == names).astype(float)
-        x = np.column_stack([np.ones(len(day)), dummies, day[have].fillna(0.0).to_numpy(dtype=float).reshape(len(day), len(have))])
-        root = np.sqrt(day["cap"].to_numpy())
-        w = root / root.sum()
-        f = _solve(x, w, day["ret"].to_numpy(), dummies.T @ w)
-        if f is None:
-            return none
-        groups = ["country"] + ["industry"] * len(names) + ["style"] * len(have)
-        return pd.DataFrame({"trade_date": day["trade_date"].iloc[0], "factor_group": groups, "factor": ["country", *names, *have], "value": f})
-
-    sample = estimation_sample(df, industry, ret, cap)
-    sample = sample.select("trade_date", F.col(industry).alias("industry"), F.col(ret).alias("ret"), F.col(cap).alias("cap"), *styles)
-    return sample.groupBy("trade_date").applyInPandas(one_day, "trade_date date, factor_group string, factor string, value double")
+    days = staged(date_equations(df, styles, industry, ret, cap), "equations")
+    return _eliminated(days, styles).unionByName(_least_norms(days, styles)) if styles else _eliminated(days, styles)
 
 
 def factor_returns_native(df: DataFrame, styles: list[str], industry: str = "industry", ret: str = "ret", cap: str = "float_cap") -> DataFrame:
-    """The same for up to two styles without Python: styles and returns less their industry means, then the styles' normal
-    equations, then weighted means of what the styles leave over.  Styles must not be degenerate within industries."""
-    if len(styles) > 2:
-        raise ValueError("two styles at most")
-    df = estimation_sample(df, industry, ret, cap).select("trade_date", F.col(industry).alias("industry"), F.col(ret).alias("ret"), F.col(cap).alias("cap"), *[F.coalesce(s, F.lit(0.0)).alias(s) for s in styles])
-    df = df.withColumn("w", sqrt_cap_weight("cap"))
-    names = ["ret", *styles]
-    cell = df.groupBy("trade_date", "industry").agg(F.sum("w").alias("wi"), F.count("*").alias("n"), *[(F.sum(F.col("w") * F.col(c)) / F.sum("w")).alias(f"m_{c}") for c in names])
-    both = df.join(cell.drop("n"), ["trade_date", "industry"])
-    d = {c: F.col(c) - F.col(f"m_{c}") for c in names}
-    pairs = [(a, b) for i, a in enumerate(styles) for b in [*styles[i:], "ret"]]
-    gram = both.groupBy("trade_date").agg(*[F.sum(F.col("w") * d[a] * d[b]).alias(f"g_{a}_{b}") for a, b in pairs], F.count("*").alias("n"))
-    if len(styles) == 2:
-        a, b = styles
-        g = lambda x, y: F.col(f"g_{x}_{y}")
-        det = g(a, a) * g(b, b) - g(a, b) * g(a, b)
-        gram = gram.withColumns({f"f_{a}": ratio(g(a, "ret") * g(b, b) - g(b, "ret") * g(a, b), det), f"f_{b}": ratio(g(b, "ret") * g(a, a) - g(a, "ret") * g(a, b), det)})
-    elif styles:
-        a = styles[0]
-        gram = gram.withColumn(f"f_{a}", ratio(F.col(f"g_{a}_ret"), F.col(f"g_{a}_{a}")))
-    industries = cell.groupBy("trade_date").agg(F.count("*").alias("k"))
-    fitted = gram.join(industries, "trade_date").where(F.col("n") > F.col("k") + 1 + len(styles)).select("trade_date", *[f"f_{s}" for s in styles])
-    left = F.col("m_ret")
-    for s in styles:
-        left = left - F.col(f"f_{s}") * F.col(f"m_{s}")
-    rest = cell.join(fitted, "trade_date").withColumn("rest", left)
-    country = rest.groupBy("trade_date").agg(F.sum(F.col("wi") * F.col("rest")).alias("value"))
-    by_industry = rest.join(country, "trade_date").select("trade_date", F.lit("industry").alias("factor_group"), F.col("industry").alias("factor"), (F.col("rest") - F.col("value")).alias("value"))
-    out = country.select("trade_date", F.lit("country").alias("factor_group"), F.lit("country").alias("factor"), "value").unionByName(by_industry)
-    if styles:
-        long = fitted.unpivot(["trade_date"], [f"f_{s}" for s in styles], "factor", "value")
-        out = out.unionByName(long.select("trade_date", F.lit("style").alias("factor_group"), F.expr("substring(factor, 3)").alias("factor"), "value"))
-    return out
+    """The same without Python; dates whose styles repeat each other are left out."""
+    return _eliminated(date_equations(df, styles, industry, ret, cap), styles)
+
+
+def _eliminated(days: DataFrame, styles: list[str]) -> DataFrame:
+    """Returns of the dates whose equations were eliminated: what the styles leave over makes the country and the industries."""
+    s = len(styles)
+    rest = lambda c: F.get(c["m"], F.lit(s)) - (dot(F.col("f"), F.slice(c["m"], 1, s)) if s else 0)
+    rows = days.where(F.col("least") >= WEAK_PIVOT).withColumn("rest", F.transform("cells", rest))
+    rows = rows.withColumn("country", dot(F.transform("cells", lambda c: c["w"] / F.col("w")), F.col("rest")))
+    row = lambda group, factor, value: F.struct(F.lit(group).alias("factor_group"), factor.alias("factor"), value.alias("value"))
+    parts = [F.array(row("country", F.lit("country"), F.col("country"))), F.zip_with("cells", "rest", lambda c, r: row("industry", c["industry"], r - F.col("country")))]
+    if s:
+        every = F.zip_with(F.lit(styles), F.col("f"), lambda name, value: row("style", name, value))
+        parts.append(F.filter(every, lambda _, i: F.get("have", i)))
+    return rows.select("trade_date", F.inline(F.concat(*parts)))
+
+
+def _least_norms(days: DataFrame, styles: list[str]) -> DataFrame:
+    def one_day(day: pd.DataFrame) -> pd.DataFrame:
+        cells, have = list(day["cells"].iloc[0]), [i for i, x in enumerate(day["have"].iloc[0]) if x]
+        found = least_norm(*normal_equations(cells, have))
+        groups = ["country"] + ["industry"] * len(cells) + ["style"] * len(have)
+        factors = ["country", *[c["industry"] for c in cells], *[styles[i] for i in have]]
+        made = {"trade_date": day["trade_date"].iloc[0], "factor_group": groups, "factor": factors, "value": np.nan if found is None else found}
+        return pd.DataFrame(made).iloc[: 0 if found is None else None]
+
+    weak = days.where(~(F.col("least") >= WEAK_PIVOT)).select("trade_date", "cells", "have")
+    return weak.groupBy("trade_date").applyInPandas(one_day, RETURNS)
 
 
 def constraint_residual(returns: DataFrame, weights: DataFrame) -> DataFrame:

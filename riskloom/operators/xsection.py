@@ -42,9 +42,8 @@ def standardize(df: DataFrame, columns: list[str], cap: str = "float_cap", thres
     """
     df = df.withColumn("__w", cap_weight(cap))
     df = df.withColumns({f"__m_{c}": weighted_mean(c, F.col("__w")) for c in columns} | {f"__s_{c}": F.stddev_samp(c).over(day()) for c in columns})
-    for c in columns:
-        m, s = F.col(f"__m_{c}"), F.col(f"__s_{c}")
-        df = df.withColumn(c, clip(F.col(c), m - threshold * s, m + threshold * s))
+    bound = lambda c: threshold * F.col(f"__s_{c}")
+    df = df.withColumns({c: clip(F.col(c), F.col(f"__m_{c}") - bound(c), F.col(f"__m_{c}") + bound(c)) for c in columns})
     df = df.withColumns({f"__d_{c}": F.stddev_samp(c).over(day()) for c in columns})
     made = {c: ratio(F.col(c) - F.col(f"__m_{c}"), F.col(f"__d_{c}")) for c in columns}
     return df.withColumns(made).drop("__w", *[f"__{k}_{c}" for k in "msd" for c in columns])

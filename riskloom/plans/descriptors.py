@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.dates import report_effective_date, report_key
 from riskloom.functions.numeric import log, ratio
-from riskloom.operators.model import compose
+from riskloom.operators.model import composed
 from riskloom.operators.panel import interior_fill
 from riskloom.operators.rolling import cumulative_range, lagged_strength, log_turnover, report_trend, rolling_wls, weighted_deviation
 from riskloom.operators.xsection import orthogonalize, residual, standardize, unit_scaled
@@ -80,12 +80,13 @@ def earnings(df: DataFrame, w: Windows, more: dict) -> DataFrame:
 
 
 def growth(df: DataFrame, w: Windows, more: dict) -> DataFrame:
+    # Units first: they need the panel alone, not the reports.
+    if "np_growth_t3" in df.columns:
+        df = unit_scaled(df.withColumns({"egibs": F.col("np_growth_t3"), "egibs_s": F.col("np_growth_ftm")}), ["egibs", "egibs_s"])
     if "reports" in more:
         trend = report_trend(more["reports"], {"egro": "eps", "sgro": "revenue"}, w.years).where(F.col("egro").isNotNull() | F.col("sgro").isNotNull())
         keyed = trend.select("code", report_key(F.col("year")).alias("__on"), "egro", "sgro")
         df = df.withColumn("__on", report_effective_date(F.col("trade_date"))).join(keyed, ["code", "__on"], "left").drop("__on")
-    if "np_growth_t3" in df.columns:
-        df = unit_scaled(df.withColumns({"egibs": F.col("np_growth_t3"), "egibs_s": F.col("np_growth_ftm")}), ["egibs", "egibs_s"])
     return df
 
 
@@ -167,12 +168,9 @@ def descriptors(panel: DataFrame, windows: Windows = Windows(), wanted: list[str
 
 def style_table(described: DataFrame, styles: dict[str, dict[str, float]] = STYLES, orthogonal: dict[str, list[str]] = ORTHOGONAL, plain: bool = False) -> DataFrame:
     """``(trade_date, code, industry, ret, float_cap)`` and the styles whose descriptors are there."""
-    # Descriptors and styles share some names, so styles are built beside them.
-    df = described
-    for s, weights in styles.items():
-        df = compose(df, f"__{s}", weights)
-    made = [s for s in styles if f"__{s}" in df.columns]
-    df = df.select("trade_date", "code", "industry", "ret", "float_cap", *[F.col(f"__{s}").alias(s) for s in made])
+    found = {s: composed(described.columns, weights) for s, weights in styles.items()}
+    made = [s for s, c in found.items() if c is not None]
+    df = described.select("trade_date", "code", "industry", "ret", "float_cap", *[found[s].alias(s) for s in made])
     for s, refs in {} if plain else orthogonal.items():
         if s in made and all(r in made for r in refs):
             df = orthogonalize(df, s, refs)

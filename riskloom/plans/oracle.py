@@ -196,6 +196,45 @@ f as (
 )"""
 
 
+def eliminated(name: str, source: str, n: int, keys: str = "trade_date", matrix: str = "m") -> str:
+    """CTE ``name`` with the augmented matrices of ``source`` (lists of n rows) after n steps of elimination; needs WITH RECURSIVE."""
+    return f"""
+{name}_steps as (
+  select {keys}, 0 as k, {matrix} as m from {source}
+  union all
+  select {keys}, k + 1, list_transform(m, lambda row, i: case when i = k + 1 then list_transform(row, lambda v: v / m[k + 1][k + 1])
+    else list_transform(row, lambda v, j: v - row[k + 1] * m[k + 1][j] / m[k + 1][k + 1]) end)
+  from {name}_steps where k < {n}
+),
+{name} as (select {keys}, m from {name}_steps where k = {n})"""
+
+
+def many_styles(styles: list[str], source: str) -> str:
+    """CTE ``f`` of factor returns with any number of styles: they and returns less their industry means, then elimination; needs WITH RECURSIVE."""
+    n = len(styles)
+    dem = ", ".join(f"{x} - sum(w * {x}) over i / sum(w) over i as d_{c}, sum(w * {x}) over i / sum(w) over i as m_{c}" for c, x in [("ret", "ret"), *[(s, f"coalesce({s}, 0)") for s in styles]])
+    there = lambda s: f"count({s}) > 0"
+    cell = lambda a, b: f"case when {there(a)} and {there(b) if b != 'ret' else 'true'} then sum(w * d_{a} * d_{b}) else {'1.0' if a == b else '0.0'} end"
+    matrix = "[" + ", ".join("[" + ", ".join(cell(a, b) for b in [*styles, "ret"]) + "]" for a in styles) + "]"
+    count = " + ".join(f"cast({there(s)} as integer)" for s in styles)
+    left = "m_ret" + "".join(f" - e.m[{i}][{n + 1}] * m_{s}" for i, s in enumerate(styles, 1))
+    rows = "".join(f" union all select trade_date, 'style', '{s}', e.m[{i}][{n + 1}] from e join fit using (trade_date) where has_{s}" for i, s in enumerate(styles, 1))
+    return f"""
+smp as (select trade_date, code, industry, ret, float_cap as cap, {", ".join(styles)} from {source} where industry is not null and ret is not null and float_cap > 0),
+wts as (select *, sqrt(cap) / sum(sqrt(cap)) over (partition by trade_date) as w from smp),
+dem as (select *, {dem} from wts window i as (partition by trade_date, industry)),
+fit as materialized (
+  select trade_date, {matrix} as m, {", ".join(f"{there(s)} as has_{s}" for s in styles)} from dem group by trade_date having count(*) > count(distinct industry) + 1 + {count}
+),{eliminated("e", "fit", n)},
+cell as (select trade_date, industry, sum(w) as wi, any_value(m_ret) as m_ret, {", ".join(f"any_value(m_{s}) as m_{s}" for s in styles)} from dem group by 1, 2),
+rest as (select c.trade_date, industry, wi, {left} as r from cell c join e using (trade_date)),
+ctry as (select trade_date, sum(wi * r) as fc from rest group by 1),
+f as (
+  select trade_date, 'country' as factor_group, 'country' as factor, fc as value from ctry
+  union all select trade_date, 'industry', industry, r - fc from rest join ctry using (trade_date){rows}
+)"""
+
+
 DAYS = """
 days as (select distinct cast(l_shipdate as date) as trade_date from lineitem),
 px as (select cast(n_regionkey as varchar) as fund_id, cast(l_shipdate as date) as trade_date, sum(l_extendedprice) / sum(l_quantity) as price

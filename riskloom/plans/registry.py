@@ -17,6 +17,7 @@ from riskloom.operators import attribution, exposure, model, panel, performance,
 from riskloom.plans import oracle as sql
 from riskloom.plans.descriptors import FACTORS, MONTHLY, ORTHOGONAL, STYLES, Windows, descriptors, raw_descriptors, style_table
 from riskloom.sources import driver_tables as t
+from riskloom.sources.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -263,7 +264,9 @@ def unit_detection(spark, sf):
 # --- descriptors ---------------------------------------------------------------------------------------------------------
 def _monthly(spark, sf, wanted=None) -> DataFrame:
     more = {"reports": t.annual_reports(spark, sf)} if wanted is None or "growth" in wanted else {}
-    return descriptors(t.monthly_panel(spark, sf), MONTHLY, wanted, **more)
+    p = t.monthly_panel(spark, sf)
+    # All descriptors at once read the panel several times: it is written once.
+    return descriptors(staged(p, "panel") if wanted is None else p, MONTHLY, wanted, **more)
 
 
 def _descriptor(name: str, factor: str) -> Query:
@@ -384,9 +387,14 @@ def full_factor_returns(spark, sf) -> DataFrame:
     return model.factor_returns(style_table(_monthly(spark, sf)), list(STYLES))
 
 
-@query()
+#: The ten styles as they are, with what a regression needs of the panel.
+_EXPOSED = f"""
+exposed as (select s.*, industry, ret, float_cap from ({_ALL.replace(", 6) + 0.0", ", 15) + 0.0")}) s join (with {sql.CELLS} select trade_date, code, industry, ret, float_cap from panel) using (trade_date, code))"""
+
+
+@query(f"with recursive {_EXPOSED}, {sql.many_styles(list(STYLES), 'exposed')} {_RETURNS}")
 def factor_return_full(spark, sf):
-    """All ten styles; too many unknowns for a closed form in SQL."""
+    """All ten styles."""
     return neat(full_factor_returns(spark, sf), RETURN_KEY, ["value"])
 
 
