@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.numeric import ratio
+from riskloom.operators.attribution import GROUPS
 from riskloom.operators.panel import calendar
 from riskloom.operators.rolling import cumulative_return, rolling_deviation
 
@@ -42,5 +43,5 @@ def contribution_shares(parts: DataFrame, per_year: int = YEAR) -> DataFrame:
 
 def ranked_styles(parts: DataFrame, per_year: int = YEAR) -> DataFrame:
     """``(fund_id, style, annualised, place)``: each fund's styles by their annualised contributions, the largest first."""
-    s = parts.where("component = 'style' and detail is not null").groupBy("fund_id", F.col("detail").alias("style")).agg((F.avg("value") * per_year).alias("annualised"))
+    s = parts.where((F.col("component") == GROUPS["style"]) & F.col("detail").isNotNull()).groupBy("fund_id", F.col("detail").alias("style")).agg((F.avg("value") * per_year).alias("annualised"))
     return s.withColumn("place", F.row_number().over(Window.partitionBy("fund_id").orderBy(F.desc("annualised"), "style")))

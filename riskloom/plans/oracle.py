@@ -196,17 +196,17 @@ f as (
 )"""
 
 
-def eliminated(name: str, source: str, n: int, keys: str = "trade_date", matrix: str = "m") -> str:
-    """CTE ``name`` with the augmented matrices of ``source`` (lists of n rows) after n steps of elimination; needs WITH RECURSIVE."""
+def eliminated(name: str, source: str, keys: str = "trade_date", matrix: str = "m") -> str:
+    """CTE ``name`` with the augmented matrices of ``source`` (lists of rows) after a step of elimination for each row; needs WITH RECURSIVE."""
     return f"""
 {name}_steps as (
   select {keys}, 0 as k, {matrix} as m from {source}
   union all
   select {keys}, k + 1, list_transform(m, lambda row, i: case when i = k + 1 then list_transform(row, lambda v: v / m[k + 1][k + 1])
     else list_transform(row, lambda v, j: v - row[k + 1] * m[k + 1][j] / m[k + 1][k + 1]) end)
-  from {name}_steps where k < {n}
+  from {name}_steps where k < len(m)
 ),
-{name} as (select {keys}, m from {name}_steps where k = {n})"""
+{name} as (select {keys}, m from {name}_steps where k = len(m))"""
 
 
 def many_styles(styles: list[str], source: str) -> str:
@@ -225,7 +225,7 @@ wts as (select *, sqrt(cap) / sum(sqrt(cap)) over (partition by trade_date) as w
 dem as (select *, {dem} from wts window i as (partition by trade_date, industry)),
 fit as materialized (
   select trade_date, {matrix} as m, {", ".join(f"{there(s)} as has_{s}" for s in styles)} from dem group by trade_date having count(*) > count(distinct industry) + 1 + {count}
-),{eliminated("e", "fit", n)},
+),{eliminated("e", "fit")},
 cell as (select trade_date, industry, sum(w) as wi, any_value(m_ret) as m_ret, {", ".join(f"any_value(m_{s}) as m_{s}" for s in styles)} from dem group by 1, 2),
 rest as (select c.trade_date, industry, wi, {left} as r from cell c join e using (trade_date)),
 ctry as (select trade_date, sum(wi * r) as fc from rest group by 1),
@@ -235,6 +235,33 @@ f as (
 )"""
 
 
+def attribution(window: int) -> str:
+    """CTE ``parts`` of the regions' rolling attribution to the factor returns ``f``, for windows of full rank that meet every factor; needs WITH RECURSIVE.
+
+    Dates that lack a factor count for nothing, as their windows' other dates have it.
+    """
+    return f"""
+px as (select industry as fund_id, trade_date, sum(market_cap) / sum(quantity) as price from panel where price is not null group by 1, 2),
+nr as (select fund_id, trade_date, price / lag(price) over (partition by fund_id order by trade_date) - 1 as r from px),
+own as materialized (select *, row_number() over (partition by fund_id order by trade_date) as t from nr where r is not null and trade_date in (select trade_date from f)),
+known as (select trade_date from f group by 1 having count(*) = (select count(*) from (select distinct factor_group, factor from f))),
+fx as materialized (select *, dense_rank() over (order by factor_group, factor) as j from f where trade_date in (select trade_date from known)),
+win as (select e.fund_id, e.t, w.trade_date, w.r from own e join own w on w.fund_id = e.fund_id and w.t between e.t - {window - 1} and e.t where e.t >= {window}),
+sq as (
+  select fund_id, t, a.j as i, list(v order by b) as row from (
+    select win.fund_id, win.t, a.j, b.j as b, sum(a.value * b.value) as v from win join fx a using (trade_date) join fx b using (trade_date) group by 1, 2, 3, 4
+    union all select win.fund_id, win.t, a.j, 1000000, sum(a.value * r) from win join fx a using (trade_date) group by 1, 2, 3
+  ) a group by 1, 2, 3
+),
+mx as materialized (select fund_id, t, list(row order by i) as m from sq group by 1, 2),{eliminated("e", "mx", "fund_id, t")},
+earned as (select own.fund_id, own.trade_date, own.r, factor_group, factor, value * e.m[j][len(e.m) + 1] as v from own join e using (fund_id, t) join fx on fx.trade_date = own.trade_date),
+parts as (
+  select fund_id, trade_date, 'Alpha' as component, null::varchar as detail, any_value(r) - sum(v) as value from earned group by 1, 2
+  union all select fund_id, trade_date, c.label, null, coalesce(sum(v) filter (factor_group = c.g), 0) from earned, (values ('country', 'Country'), ('industry', 'Industry'), ('style', 'Style')) c(g, label) group by 1, 2, 3
+  union all select fund_id, trade_date, 'Style', factor, v from earned where factor_group = 'style'
+)"""
+
+
 DAYS = """
 days as (select distinct cast(l_shipdate as date) as trade_date from lineitem),
 px as (select cast(n_regionkey as varchar) as fund_id, cast(l_shipdate as date) as trade_date, sum(l_extendedprice) / sum(l_quantity) as price

@@ -412,7 +412,10 @@ def normal_equations_full(spark, sf):
     return neat(model.normal_residual(styles, model.factor_returns(styles, list(STYLES)), list(STYLES)), ["trade_date"], ["residual"])
 
 
-@query()
+_PARTS_SQL = f"{_SIZED.replace('with', 'with recursive', 1)}, {sql.fwl(['size'], 'sz')}, {sql.attribution(24)}"
+
+
+@query(f"{_PARTS_SQL}, a as (select fund_id, detail as style, avg(value) * 12 as annualised from parts where detail is not null group by 1, 2) select fund_id, style, cast(row_number() over (partition by fund_id order by annualised desc, style) as integer) as place, round(annualised, 6) + 0.0 as annualised from a")
 def style_ranking(spark, sf):
     return neat(summaries.ranked_styles(_attributed(spark, sf)[0], 12), ["fund_id", "style", "place"], ["annualised"])
 
@@ -475,9 +478,9 @@ def _attributed(spark, sf) -> tuple[DataFrame, DataFrame]:
     return attribution.attribute(nav, model.factor_returns(_sized(spark, sf), ["size"]), 24), nav
 
 
-@query(name="attribution")
+@query(f"{_PARTS_SQL} select fund_id, trade_date, component, detail, round(value, 6) + 0.0 as value from parts", name="attribution")
 def rolling_attribution(spark, sf):
-    """Rolling regressions without intercept, of the least norm: no closed form in SQL."""
+    """Rolling regressions without intercept; the SQL solves windows of full rank, which these are."""
     return neat(_attributed(spark, sf)[0], ["fund_id", "trade_date", "component", "detail"], ["value"])
 
 
@@ -486,7 +489,7 @@ def attribution_identity(spark, sf):
     return neat(attribution.identity_error(*_attributed(spark, sf)), ["fund_id"], ["max_error"])
 
 
-@query()
+@query(f"{_PARTS_SQL}, a as (select fund_id, component, avg(value) * 12 as annualised from parts where detail is null group by 1, 2) select fund_id, component, round(annualised, 6) + 0.0 as annualised, round(annualised / nullif(sum(annualised) over (partition by fund_id), 0), 6) + 0.0 as share from a")
 def attribution_shares(spark, sf):
     return neat(summaries.contribution_shares(_attributed(spark, sf)[0], 12), ["fund_id", "component"], ["annualised", "share"])
 

@@ -116,5 +116,5 @@ def test_securities_and_style_weights(spark, tmp_path):
 
 
 def test_ranked_styles(spark):
-    parts = spark.createDataFrame([("f", "style", "a", 1.0), ("f", "style", "b", 2.0), ("f", "style", None, 3.0), ("f", "country", None, 9.0)], "fund_id string, component string, detail string, value double")
+    parts = spark.createDataFrame([("f", "Style", "a", 1.0), ("f", "Style", "b", 2.0), ("f", "Style", None, 3.0), ("f", "Country", None, 9.0)], "fund_id string, component string, detail string, value double")
     assert [(r["style"], r["place"]) for r in summaries.ranked_styles(parts, 10).orderBy("place").collect()] == [("b", 1), ("a", 2)]

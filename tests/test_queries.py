@@ -15,7 +15,9 @@ def test_same_as_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(ORACLE)))
 def test_runs(spark, name):
-    rows = registry.queries()[name](spark, DATA).collect()
+    # The smallest tables have no date with enough securities for ten styles.
+    rows = registry.queries()[name](spark, DATA.replace("sf0.001", "sf0.01") if name == "normal_equations_full" else DATA).collect()
+    assert rows
     if name == "normal_equations_full":
         assert all(r["residual"] == 0 for r in rows)
 
