@@ -1,8 +1,15 @@
-"""Rolling and cumulative operators over each code's history, as ROWS frames of one window specification.
+"""Rolling and cumulative operators over each code's history.
 
-Half-life weights 0.5^(j/H), j counting back from a window's end, are ratios of powers 2^(idx/H): weighted means are
-quotients of plain frame sums, which Spark evaluates in one window operator.  ``idx`` is the calendar's row number, so
-that 2^(idx/H) stays within doubles for 1,000 half-lives (170 years of days at H = 42).
+Windows of many rows are differences of running sums, which cost the same whatever their length.  Running sums begin anew with each block of
+rows, at least as long as the longest window, so a window meets two blocks at most: it is what the current block has so far and what the one
+before has left, or the difference of two running sums of one block.  The error of a sum is bounded by 2^-52 times the number of rows
+of two blocks times the sum of the sizes of their values, however long the history and whatever lies before them.
+
+Half-life weights 0.5^(j/H), j counting back from a window's end, are powers 2^(at/H) of the row's place in its block; a window's part in the block
+before is scaled by 2^(-rows/H).  So they never outgrow doubles.  Blocks are partitions of a window that is ordered by block and row, and the
+history is one ordered by both: all running sums and all that looks back share one sort and one shuffle by code.
+
+Forms over ROWS frames (``weighted_deviation``, ``cumulative_range``, ``lagged_strength``, ``rolling_sum``) give the same as columns, for short windows.
 """
 
 from __future__ import annotations
@@ -26,26 +33,102 @@ def normaliser(window: int, half_life: float) -> float:
     return sum(0.5 ** (j / half_life) for j in range(window))
 
 
-def rolling_wls(df: DataFrame, y: str, x: str, window: int, half_life: float, max_missing: int, beta: str = "beta", sigma: str = "sigma", active: Column | None = None) -> DataFrame:
+def with_blocks(df: DataFrame, rows: int, by: str = "code") -> DataFrame:
+    """The frame with each row's block and its place there, for ``frame_sums``."""
+    n = f"row_number() over (partition by `{by}` order by idx) - 1"
+    return df.selectExpr("*", f"{n} as __n").selectExpr("*", f"cast(floor(__n / {rows}) as int) as __block", f"__n % {rows} as __at").drop("__n")
+
+
+def frame_sums(df: DataFrame, terms: dict[str, tuple[str, float | None]], frames: dict[str, tuple[str, int, int]], rows: int, by: str = "code") -> DataFrame:
+    """New columns ``{out: (term, window, lag)}``: sums over the ``window`` rows that end ``lag`` rows ago, as far as there are any.
+
+    ``terms`` are ``{name: (SQL of the value, half-life)}``; nulls add nothing; with a half-life the newest row weighs 1.  ``rows`` is the
+    length of blocks, ``window`` at least; blocks that the frame has already (``with_blocks``) must have that length.
+    (SQL text, for some dozens of columns are parsed faster than they are put together call by call.)
+    """
+    longest = max(window for _, window, _ in frames.values())
+    if longest > rows:
+        raise ValueError(f"blocks of {rows} rows are shorter than a window of {longest}")
+    own = "__block" not in df.columns
+    if own:
+        df = with_blocks(df, rows, by)
+    block = f"over (partition by `{by}`, __block order by idx rows between unbounded preceding and"
+    history = f"over (partition by `{by}` order by __block, idx)"
+    power = lambda x, h: f"pow(2D, ({x}) / {float(h)}D)"
+    valued = {t: f"coalesce({x if h is None else f'({x}) * {power("__at", h)}'}, 0D)" for t, (x, h) in terms.items()}
+    running = [e for t, v in valued.items() for e in (f"sum({v}) {block} current row) as __p_{t}", f"sum({v}) {block} unbounded following) as __t_{t}")]
+    back: dict[int, set[str]] = {}
+    for t, window, lag in frames.values():
+        back.setdefault(window + lag, set()).add(t)
+        if lag:
+            back.setdefault(lag, set()).add(t)
+    lags = [f"lag(struct(__block, {', '.join(f'__p_{t}, __t_{t}' for t in sorted(ts))}), {k}) {history} as __l_{k}" for k, ts in back.items()]
+    made = []
+    for out, (t, window, lag) in frames.items():
+        half_life = terms[t][1]
+        end, far = f"__l_{lag}." if lag else "", f"__l_{window + lag}"
+        scale = "1D" if half_life is None else f"{2.0 ** (-rows / half_life)!r}D"
+        value = f"coalesce({end}__p_{t}, 0D) + coalesce(if({far}.__block = {end}__block, -{far}.__p_{t}, ({far}.__t_{t} - {far}.__p_{t}) * {scale}), 0D)"
+        made.append(f"{value if half_life is None else f'({value}) * {power(f"-pmod(__at - {lag}, {rows})", half_life)}'} as `{out}`")
+    gone = [f"__{c}_{t}" for t in terms for c in "pt"] + [f"__l_{k}" for k in back] + (["__block", "__at"] if own else [])
+    return df.selectExpr("*", *running).selectExpr("*", *lags).selectExpr("*", *made).drop(*gone)
+
+
+def present(x: str) -> str:
+    """1 where there is a value."""
+    return f"if(`{x}` is null, 0D, 1D)"
+
+
+def rolling_wls(
+    df: DataFrame, y: str, x: str, window: int, half_life: float, max_missing: int, beta: str = "beta", sigma: str = "sigma", active: Column | None = None, rows: int | None = None
+) -> DataFrame:
     """Weighted regression of y on x with intercept in each full window, and the plain standard deviation of its residuals.
 
     Null where y or x lacks more than ``max_missing`` values; other nulls count as 0.  A window holds ``active`` rows only.
     """
-    f = frame(window)
-    u, a, b = weight(half_life), F.coalesce(y, F.lit(0.0)), F.coalesce(x, F.lit(0.0))
-    s = {k: F.sum(v).over(f) for k, v in {"0": u, "x": u * b, "y": u * a, "xx": u * b * b, "xy": u * a * b}.items()}
-    sums = {f"__{k}": v for k, v in s.items()}
-    sums |= {
-        "__n": F.count(F.lit(1) if active is None else F.when(active, 1)).over(f), "__ny": F.count(y).over(f), "__nx": F.count(x).over(f),
-        "__vx": F.var_samp(b).over(f), "__vy": F.var_samp(a).over(f), "__c": F.covar_samp(b, a).over(f),
-    }
-    df = df.withColumns(sums)
-    mean = lambda k: F.col(f"__{k}") / F.col("__0")
-    slope = ratio(mean("xy") - mean("x") * mean("y"), mean("xx") - mean("x") * mean("x"))
-    ok = (F.col("__n") == window) & (F.col("__n") - F.col("__ny") <= max_missing) & (F.col("__n") - F.col("__nx") <= max_missing)
-    df = df.withColumn(beta, F.when(ok, slope))
-    rest = F.col("__vy") - 2 * F.col(beta) * F.col("__c") + F.col(beta) * F.col(beta) * F.col("__vx")
-    return df.withColumn(sigma, F.when(F.col(beta).isNotNull(), F.sqrt(F.greatest(rest, F.lit(0.0))))).drop(*sums)
+    if active is not None:
+        df = df.withColumn("__active", active)
+    a, b = f"coalesce(`{y}`, 0D)", f"coalesce(`{x}`, 0D)"
+    plain = {"n": "1D" if active is None else "if(__active, 1D, 0D)", "ny": present(y), "nx": present(x), "b": b, "a": a, "bb": f"{b} * {b}", "aa": f"{a} * {a}", "ab": f"{a} * {b}"}
+    terms = {k: (v, None) for k, v in plain.items()} | {f"w{k}": (plain[k], half_life) for k in ("b", "a", "bb", "ab")}
+    df = frame_sums(df, terms, {f"__{t}": (t, window, 0) for t in terms}, rows or window)
+    total = f"{normaliser(window, half_life)!r}D"
+    mean = lambda k: f"(__w{k} / {total})"
+    slope = f"try_divide({mean('ab')} - {mean('b')} * {mean('a')}, {mean('bb')} - {mean('b')} * {mean('b')})"
+    cov = lambda p, q: f"(__{p}{q} - __{p} * __{q} / {window}) / {window - 1}"
+    df = df.withColumn(beta, F.expr(f"if(__n = {window} and __n - __ny <= {max_missing} and __n - __nx <= {max_missing}, {slope}, null)"))
+    rest = f"{cov('a', 'a')} - 2 * `{beta}` * {cov('a', 'b')} + `{beta}` * `{beta}` * {cov('b', 'b')}"
+    return df.withColumn(sigma, F.expr(f"if(`{beta}` is null, null, sqrt(greatest({rest}, 0D)))")).drop("__active", *[f"__{t}" for t in terms])
+
+
+def with_deviation(df: DataFrame, out: str, x: str, window: int, half_life: float, rows: int | None = None) -> DataFrame:
+    """``weighted_deviation`` from running sums."""
+    terms = {"n": (present(x), None), "x": (f"`{x}`", half_life), "xx": (f"`{x}` * `{x}`", half_life)}
+    df = frame_sums(df, terms, {f"__{t}": (t, window, 0) for t in terms}, rows or window)
+    total = f"{normaliser(window, half_life)!r}D"
+    return df.withColumn(out, F.expr(f"if(__n = {window}, sqrt(greatest(__xx / {total} - __x / {total} * __x / {total}, 0D)), null)")).drop("__n", "__x", "__xx")
+
+
+def with_range(df: DataFrame, out: str, x: str, step: int, points: int, rows: int | None = None) -> DataFrame:
+    """``cumulative_range`` from one running sum and a look back for each point."""
+    frames = {f"__s{t}": ("x", step * t, 0) for t in range(1, points + 1)} | {"__n": ("n", step * points, 0)}
+    df = frame_sums(df, {"x": (f"`{x}`", None), "n": (present(x), None)}, frames, rows or step * points)
+    sums = ", ".join(f"__s{t}" for t in range(1, points + 1))
+    spread = f"greatest({sums}) - least({sums})" if points > 1 else "0D"
+    return df.withColumn(out, F.expr(f"if(__n = {step * points}, {spread}, null)")).drop(*frames)
+
+
+def with_strength(df: DataFrame, out: str, x: str, window: int, half_life: float, lag: int, min_count: int, rows: int | None = None) -> DataFrame:
+    """``lagged_strength`` from running sums."""
+    df = frame_sums(df, {"x": (f"`{x}`", half_life), "n": (present(x), None)}, {"__s": ("x", window, lag), "__n": ("n", window, lag)}, rows or window)
+    return df.withColumn(out, F.expr(f"if(__n >= {min_count} and idx >= {window}, __s / {normaliser(window, half_life)!r}D, null)")).drop("__s", "__n")
+
+
+def with_log_turnover(df: DataFrame, x: str, made: dict[str, tuple[int, int, int]], rows: int | None = None) -> DataFrame:
+    """``log_turnover`` from one running sum, ``{out: (window, least values, periods)}``."""
+    frames = {f"__{k}_{out}": (k, window, 0) for out, (window, _, _) in made.items() for k in "xn"}
+    df = frame_sums(df, {"x": (f"`{x}`", None), "n": (present(x), None)}, frames, rows or max(m[0] for m in made.values()))
+    return df.withColumns({out: F.expr(f"if(__n_{out} >= {least} and __x_{out} > 0, ln(__x_{out} / {periods}), null)") for out, (_, least, periods) in made.items()}).drop(*frames)
 
 
 def weighted_deviation(x: str, window: int, half_life: float) -> Column:

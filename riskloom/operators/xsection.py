@@ -40,12 +40,15 @@ def standardize(df: DataFrame, columns: list[str], cap: str = "float_cap", thres
 
     All columns share the same two window operators.  One value or none on a date, or equal ones, give null.
     """
+    # SQL text: some hundred columns are parsed faster than they are put together call by call.
     df = df.withColumn("__w", cap_weight(cap))
-    df = df.withColumns({f"__m_{c}": weighted_mean(c, F.col("__w")) for c in columns} | {f"__s_{c}": F.stddev_samp(c).over(day()) for c in columns})
-    bound = lambda c: threshold * F.col(f"__s_{c}")
-    df = df.withColumns({c: clip(F.col(c), F.col(f"__m_{c}") - bound(c), F.col(f"__m_{c}") + bound(c)) for c in columns})
-    df = df.withColumns({f"__d_{c}": F.stddev_samp(c).over(day()) for c in columns})
-    made = {c: ratio(F.col(c) - F.col(f"__m_{c}"), F.col(f"__d_{c}")) for c in columns}
+    means = {f"__m_{c}": f"coalesce(sum(__w * `{c}`) over (partition by trade_date), 0D)" for c in columns}
+    spreads = {f"__s_{c}": f"stddev_samp(`{c}`) over (partition by trade_date)" for c in columns}
+    df = df.selectExpr("*", *[f"{v} as `{k}`" for k, v in (means | spreads).items()])
+    low, high = (lambda c, sign=sign: f"`__m_{c}` {sign} {float(threshold)}D * `__s_{c}`" for sign in "-+")
+    df = df.withColumns({c: F.expr(f"if(`{c}` is null or `__s_{c}` is null, null, greatest({low(c)}, least({high(c)}, `{c}`)))") for c in columns})
+    df = df.selectExpr("*", *[f"stddev_samp(`{c}`) over (partition by trade_date) as `__d_{c}`" for c in columns])
+    made = {c: F.expr(f"try_divide(`{c}` - `__m_{c}`, `__d_{c}`)") for c in columns}
     return df.withColumns(made).drop("__w", *[f"__{k}_{c}" for k in "msd" for c in columns])
 
 

@@ -15,7 +15,7 @@ from riskloom.functions.dates import report_effective_date, report_key
 from riskloom.functions.numeric import log, ratio
 from riskloom.operators.model import composed
 from riskloom.operators.panel import interior_fill
-from riskloom.operators.rolling import cumulative_range, lagged_strength, log_turnover, report_trend, rolling_wls, weighted_deviation
+from riskloom.operators.rolling import report_trend, rolling_wls, with_blocks, with_deviation, with_log_turnover, with_range, with_strength
 from riskloom.operators.xsection import orthogonalize, residual, standardize, unit_scaled
 
 
@@ -31,6 +31,11 @@ class Windows:
     years: int = 5
     per_year: int = 365
 
+    @property
+    def longest(self) -> int:
+        """Rows of the longest window, the length of blocks of running sums."""
+        return max(self.beta[0], self.momentum[0], self.deviation[0], self.range[0] * self.range[1], *[p[0] for p in self.liquidity])
+
 
 MONTHLY = Windows(beta=(24, 6, 4), momentum=(24, 12, 1, 23), deviation=(12, 6), range=(1, 12), liquidity=((3, 2, 1), (6, 5, 3), (12, 10, 12)))
 
@@ -54,20 +59,21 @@ def size(df: DataFrame, w: Windows, more: dict) -> DataFrame:
 
 def beta(df: DataFrame, w: Windows, more: dict) -> DataFrame:
     begin = F.min(F.when(F.col("rt").isNotNull(), F.col("idx"))).over(Window.partitionBy("code"))
-    return rolling_wls(df.withColumn("__from", begin), "ex", "bx", *w.beta, active=F.col("idx") >= F.col("__from")).drop("__from")
+    return rolling_wls(df.withColumn("__from", begin), "ex", "bx", *w.beta, active=F.col("idx") >= F.col("__from"), rows=w.longest).drop("__from")
 
 
 def momentum(df: DataFrame, w: Windows, more: dict) -> DataFrame:
-    return df.withColumn("rstr", lagged_strength("lx", *w.momentum))
+    return with_strength(df, "rstr", "lx", *w.momentum, rows=w.longest)
 
 
 def volatility(df: DataFrame, w: Windows, more: dict) -> DataFrame:
     df = interior_fill(df, {"__ex": "ex", "__lx": "lx"})
-    return df.withColumns({"dastd": weighted_deviation("__ex", *w.deviation), "cmra": cumulative_range("__lx", *w.range)}).drop("__ex", "__lx")
+    df = with_deviation(df, "dastd", "__ex", *w.deviation, rows=w.longest)
+    return with_range(df, "cmra", "__lx", *w.range, rows=w.longest).drop("__ex", "__lx")
 
 
 def liquidity(df: DataFrame, w: Windows, more: dict) -> DataFrame:
-    return df.withColumns({n: log_turnover("turnover", *p) for n, p in zip(("stom", "stoq", "stoa"), w.liquidity, strict=True)})
+    return with_log_turnover(df, "turnover", dict(zip(("stom", "stoq", "stoa"), w.liquidity, strict=True)), rows=w.longest)
 
 
 def value(df: DataFrame, w: Windows, more: dict) -> DataFrame:
@@ -148,12 +154,12 @@ def ordered(factors: dict[str, Factor], wanted: list[str] | None = None) -> list
 
 def raw_descriptors(panel: DataFrame, windows: Windows = Windows(), wanted: list[str] | None = None, factors: dict[str, Factor] = FACTORS, **more) -> tuple[DataFrame, list[str]]:
     """The panel with the raw columns of the wanted factors, and the names of those columns."""
-    df = excess(panel, windows)
+    df = with_blocks(excess(panel, windows), windows.longest)
     names = ordered(factors, wanted)
     before = set(df.columns)
     for n in names:
         df = factors[n].add(df, windows, more)
-    return df, [c for c in df.columns if c not in before]
+    return df.drop("__block", "__at"), [c for c in df.columns if c not in before]
 
 
 def descriptors(panel: DataFrame, windows: Windows = Windows(), wanted: list[str] | None = None, **more) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from riskloom.plans.descriptors import MONTHLY as M
+from riskloom.plans.descriptors import Windows
 
 CELLS = """
 cells as (
@@ -81,8 +82,8 @@ def _simple(x: str) -> str:
     return f"raw as (select trade_date, code, industry, ret, float_cap, {x} as x from panel)"
 
 
-def _turnover(i: int) -> str:
-    rows, least, months = M.liquidity[i]
+def _turnover(i: int, m: Windows = M) -> str:
+    rows, least, months = m.liquidity[i]
     return f"""
 t as (select *, case when count(turnover) over f >= {least} then sum(turnover) over f end as s from panel window f as {frame(rows)}),
 raw as (select trade_date, code, industry, ret, float_cap, case when s > 0 then ln(s / {months}) end as x from t)"""
@@ -105,21 +106,21 @@ def _scaled(column: str) -> str:
     return f"raw as (select trade_date, code, industry, ret, float_cap, case when (select median(abs({column})) from panel) > 1 then {column} / 100 else {column} end as x from panel)"
 
 
-def _range() -> str:
-    step, points = M.range
+def _range(m: Windows = M) -> str:
+    step, points = m.range
     sums = ", ".join(f"sum(fl) over {frame(step * t)}" for t in range(1, points + 1))
     return f"{_filled()}, raw as (select trade_date, code, industry, ret, float_cap, case when count(fl) over {frame(step * points)} = {step * points} then greatest({sums}) - least({sums}) end as x from filled)"
 
 
-def _deviation() -> str:
-    n, h = M.deviation
+def _deviation(m: Windows = M) -> str:
+    n, h = m.deviation
     return f"""{_filled()},
 m as (select *, sum(u * fx) over f / sum(u) over f as m1, sum(u * fx * fx) over f / sum(u) over f as m2, count(fx) over f as n from (select *, pow(2.0, idx / {h}.0) as u from filled) window f as {frame(n)}),
 raw as (select trade_date, code, industry, ret, float_cap, case when n = {n} then sqrt(greatest(m2 - m1 * m1, 0)) end as x from m)"""
 
 
-def _strength() -> str:
-    n, h, lag, least = M.momentum
+def _strength(m: Windows = M) -> str:
+    n, h, lag, least = m.momentum
     total = sum(0.5 ** (j / h) for j in range(n))
     return f"""
 m as (select *, sum(pow(2.0, idx / {h}.0) * lx) over f as s, count(lx) over f as n from panel window f as {frame(n, lag)}),
@@ -143,6 +144,29 @@ RAW = {
 }
 
 
+DAILY = """
+c as (
+  select cast(l_shipdate as date) as trade_date, s_nationkey as nk, sum(l_extendedprice) / sum(l_quantity) as price, sum(l_quantity) / 100 as turnover
+  from lineitem join supplier on l_suppkey = s_suppkey group by 1, 2
+),
+cal as (select trade_date, row_number() over (order by trade_date) as idx from (select distinct trade_date from c)),
+g as (
+  select cal.trade_date, idx, n_nationkey as nk, turnover, last_value(price ignore nulls) over (partition by n_nationkey order by idx rows between unbounded preceding and current row) as price
+  from cal cross join nation left join c on c.trade_date = cal.trade_date and c.nk = n_nationkey
+),
+panel as (
+  select trade_date, idx, cast(nk as varchar) as code, null as industry, null as float_cap, turnover, ret, ret as ex, ln(1 + ret) as lx
+  from (select *, price / lag(price) over (partition by nk order by idx) - 1 as ret from g)
+)"""
+
+
+def daily(name: str) -> str:
+    """A descriptor with the default windows on the daily panel of nations, not standardised."""
+    w = Windows()
+    raw = {"rstr": _strength, "dastd": _deviation, "cmra": _range, "stom": lambda m: _turnover(0, m), "stoq": lambda m: _turnover(1, m), "stoa": lambda m: _turnover(2, m)}[name](w)
+    return f"with {DAILY}, {raw} select trade_date, code, {rounded('x')} as {name} from raw where x is not null"
+
+
 def rounded(x: str, digits: int = 6) -> str:
     return f"round({x}, {digits}) + 0.0"
 

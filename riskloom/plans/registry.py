@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 from riskloom.functions.codes import account_digits, is_stock_account, to_terminal, to_vendor, with_suffix
 from riskloom.functions.dates import calendar_parts, report_effective_date
 from riskloom.functions.numeric import rounded
-from riskloom.operators import attribution, exposure, model, panel, performance, rolling, summaries, xsection
+from riskloom.operators import attribution, covariance, exposure, model, panel, performance, rolling, summaries, xsection
 from riskloom.plans import oracle as sql
-from riskloom.plans.descriptors import FACTORS, MONTHLY, ORTHOGONAL, STYLES, Windows, descriptors, raw_descriptors, style_table
+from riskloom.plans.descriptors import FACTORS, MONTHLY, ORTHOGONAL, STYLES, Windows, descriptors, excess, raw_descriptors, style_table
 from riskloom.sources import driver_tables as t
-from riskloom.sources.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,15 +122,9 @@ def trade_calendar_parts(spark, sf):
     return calendar_parts(panel.calendar(t.table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("trade_date"))).select("trade_date"))
 
 
-@query(f"{WITH} select trade_date, " + ", ".join(f"round(max(market_cap) filter (code = '{c}'), 2) + 0.0 as s{c}" for c in (1, 2, 3)) + " from panel group by 1")
-def long_to_wide(spark, sf):
-    w = panel.to_wide(t.monthly_panel(spark, sf).select("trade_date", "code", "market_cap"), "market_cap", ["1", "2", "3"])
-    return w.select("trade_date", *[rounded(F.col(c), 2).alias(f"s{c}") for c in ("1", "2", "3")])
-
-
-@query()
+@query(f"{WITH} select trade_date, " + ", ".join(f"round(sum(market_cap) filter (industry = '{i}'), 2) + 0.0 as \"{i}\"" for i in range(5)) + " from panel group by 1")
 def long_to_wide_industries(spark, sf):
-    """Market cap of all industries, a column each, which the table names: SQL would need their list."""
+    """Market cap of all industries, a column each, which the table names; SQL lists the five that the regions are."""
     p = t.monthly_panel(spark, sf).where(F.col("industry").isNotNull()).groupBy("trade_date", F.col("industry").alias("code")).agg(F.sum("market_cap").alias("market_cap"))
     w = panel.to_wide(p, "market_cap")
     return w.select("trade_date", *[rounded(F.col(f"`{c}`"), 2).alias(c) for c in w.columns[1:]])
@@ -264,9 +257,7 @@ def unit_detection(spark, sf):
 # --- descriptors ---------------------------------------------------------------------------------------------------------
 def _monthly(spark, sf, wanted=None) -> DataFrame:
     more = {"reports": t.annual_reports(spark, sf)} if wanted is None or "growth" in wanted else {}
-    p = t.monthly_panel(spark, sf)
-    # All descriptors at once read the panel several times: it is written once.
-    return descriptors(staged(p, "panel") if wanted is None else p, MONTHLY, wanted, **more)
+    return descriptors(t.monthly_panel(spark, sf), MONTHLY, wanted, **more)
 
 
 def _descriptor(name: str, factor: str) -> Query:
@@ -306,6 +297,18 @@ def beta_daily(spark, sf):
     return neat(b.where(F.col("beta").isNotNull()), KEY, ["beta"])
 
 
+def _daily(name: str, factor: str) -> Query:
+    def run(spark, sf):
+        p = excess(t.nation_days(spark, sf).withColumn("rf", F.lit(0.0)), Windows())
+        return neat(FACTORS[factor].add(p, Windows(), {}).where(F.col(name).isNotNull()), KEY, [name])
+
+    return run
+
+
+for _name, _factor in {"rstr": "momentum", "dastd": "volatility", "cmra": "volatility", "stom": "liquidity", "stoq": "liquidity", "stoa": "liquidity"}.items():
+    query(sql.daily(_name), f"{_name}_daily")(_daily(_name, _factor))
+
+
 # --- styles and factor returns ---------------------------------------------------------------------------------------------
 @query(f"{WITH}, {sql.joined(['stom', 'stoq', 'stoa'])} select trade_date, code, round(stom * 0.35 + stoq * 0.35 + stoa * 0.30, 6) + 0.0 as liquidity from d")
 def compose_style(spark, sf):
@@ -398,6 +401,20 @@ def factor_return_full(spark, sf):
     return neat(full_factor_returns(spark, sf), RETURN_KEY, ["value"])
 
 
+@query(f"""{WITH}, {sql.fwl([], 'panel')},
+x as (select *, dense_rank() over (order by trade_date desc) - 1 as age from f),
+p as (select a.factor as factor_a, b.factor as factor_b, a.value as x, b.value as y, pow(0.5, a.age / 12.0) as v, pow(0.5, a.age / 36.0) as c from x a join x b on a.trade_date = b.trade_date and a.factor <= b.factor),
+m as (select *, x - sum(c * x) over k / sum(c) over k as dx, y - sum(c * y) over k / sum(c) over k as dy, x - sum(v * x) over k / sum(v) over k as ux from p window k as (partition by factor_a, factor_b)),
+r as (select factor_a, factor_b, count(*) as n, sum(c * dx * dy) / sqrt(sum(c * dx * dx) * sum(c * dy * dy)) * case when factor_a = factor_b then 1 else 0.9 end as r, sqrt(sum(v * ux * ux) / sum(v)) as s from m group by 1, 2),
+s as (select factor_a as f, s from r where factor_a = factor_b)
+select factor_a, factor_b, n, round(r, 6) + 0.0 as correlation, round(r * a.s * b.s, 8) + 0.0 as covariance from r join s a on a.f = factor_a join s b on b.f = factor_b
+""")
+def factor_covariance(spark, sf):
+    """Country and industries, with half-lives of 12 and 36 months and a tenth of shrinkage."""
+    found = covariance.factor_covariance(_industry_returns(spark, sf), 12, 36, 0.1)
+    return found.select("factor_a", "factor_b", "n", rounded(F.col("correlation"), 6).alias("correlation"), rounded(F.col("covariance"), 8).alias("covariance"))
+
+
 @query(f"{_SIZED}, {sql.fwl(['size'], 'sz')} select trade_date, 0.0::double as residual from fit")
 def normal_equations(spark, sf):
     """What a date's factors leave over is orthogonal to each of them, held against 0 for industries and size."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.numeric import ratio
 from riskloom.operators.panel import calendar, densify, fill, history
 from riskloom.operators.rolling import simple_return
+from riskloom.sources.staging import staged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,8 +50,8 @@ def monthly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "price": ratio(cap, F.col("quantity")), "turnover": F.col("quantity") / 100, "assets": cap, "pb": ratio(cap, F.col("equity")),
         "pcf": ratio(cap, F.col("ncl")), "ep_ttm": F.col("tax"), "eps_ftm": F.col("tax"), "np_growth_t3": F.col("tax") * 100, "np_growth_ftm": F.col("discount") * 100,
     })
-    p = p.withColumn("ret", simple_return("price", history()))
-    # The rate and the benchmark are one row a date, so they are summed and broadcast; the panel stays dealt by code.
+    # Written once: the rate and the benchmark, one row a date for a broadcast, are summed from it, and what reads the panel reads no orders.
+    p = staged(p.withColumn("ret", simple_return("price", history())), "panel")
     days = p.groupBy("trade_date").agg(
         ratio(F.sum(F.col("discount") * F.col("trades")), F.sum("trades")).alias("rf"),
         ratio(F.sum(net * F.col("ret")), F.sum(F.when(F.col("ret").isNotNull(), net))).alias("rt"),
@@ -74,7 +75,7 @@ def nation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     p = densify(facts, calendar(facts), n.select(F.col("n_nationkey").cast("string").alias("code"), F.col("n_regionkey").cast("string").alias("industry")))
     p = fill(p.withColumn("price", ratio(F.col("gross"), F.col("quantity"))), ["price"])
-    p = p.withColumn("ret", simple_return("price", history()))
+    p = staged(p.withColumn("ret", simple_return("price", history())), "panel")
     days = p.groupBy("trade_date").agg(F.avg("ret").alias("rt"))
     return p.join(F.broadcast(days), "trade_date").withColumn("turnover", F.col("quantity") / 100)
 
