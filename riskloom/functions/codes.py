@@ -13,8 +13,6 @@ SUFFIX_OF_DIGIT = {"6": ".XSHG", "0": ".XSHE", "3": ".XSHE", "4": ".XBJG", "8":
 STOCK_ACCOUNT = r"^1102[0-9A-Z]{2}01\d{6}$"
 # Fixed value: the captioned date in a cell of a valuation sheet.
 CAPTIONED_DATE = r"估值日期[:：]\s*(\d{4}-\d{2}-\d{2})"
-#: Other ways in which a cell may hold a date.
-CELL_DATE = r"(\d{4})[-/年.](\d{1,2})[-/月.](\d{1,2})"
 
 
 def _translate(code: Column, pairs: dict[str, str]) -> Column:
@@ -51,12 +49,6 @@ def account_digits(account: Column) -> Column:
     return F.when(is_stock_account(account), F.substring(account, -6, 6)).otherwise(F.nullif(F.regexp_extract(account, r"(\d{6})", 1), F.lit("")))
 
 
-def cell_date(cell: Column) -> Column:
-    """A date that a text cell holds, else null."""
-    part = [F.try_to_number(F.nullif(F.regexp_extract(cell, CELL_DATE, i), F.lit("")), F.lit("9999")).cast("int") for i in (1, 2, 3)]
-    return F.when(part[0].isNotNull(), F.try_make_timestamp(part[0], part[1], part[2], F.lit(0), F.lit(0), F.lit(0)).cast("date"))
-
-
 def captioned_date(cell: Column) -> Column:
     """The valuation date that a text cell names as such, else null."""
     return F.nullif(F.regexp_extract(cell, CAPTIONED_DATE, 1), F.lit("")).try_cast("date")

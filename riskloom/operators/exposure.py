@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.codes import account_digits, captioned_date, cell_date, file_date, is_stock_account, with_suffix
+from riskloom.functions.codes import account_digits, captioned_date, file_date, is_stock_account, with_suffix
 from riskloom.functions.numeric import ratio
 
 # Captions of the account-code column of a valuation sheet and, in order, of its weight column.
 ACCOUNT_CAPTION, WEIGHT_CAPTION = "科目代码", "市值占净值"
-WEIGHT_CAPTIONS = [WEIGHT_CAPTION, "市值占比", "占净值比例"]
+WEIGHT_CAPTIONS = [f"{WEIGHT_CAPTION}%", "市值占比", "占净值比例"]
 HEADER_ROWS = 20
 
 
-def as_of_dates(wanted: DataFrame, dates: DataFrame) -> DataFrame:
-    """``wanted(fund_id, value_date)`` with the latest factor date at or before the value date, null if there is none.
+def as_of_dates(wanted: DataFrame, dates: DataFrame, required: bool = False) -> DataFrame:
+    """``wanted(fund_id, value_date)`` with the latest factor date at or before the value date; null, or an error if ``required``, if there is none.
 
     Every calendar day from the first factor date on gets the factor date in force: a table of days, which are few, for a broadcast.
     """
@@ -24,7 +24,11 @@ def as_of_dates(wanted: DataFrame, dates: DataFrame) -> DataFrame:
     days = known.where("__next is not null").select("trade_date", F.explode(F.sequence("trade_date", F.date_sub("__next", 1))).alias("__day"))
     last = known.agg(F.max("trade_date").alias("__last"))
     out = wanted.join(F.broadcast(days), F.col("value_date") == F.col("__day"), "left").join(F.broadcast(last), F.lit(True), "left")
-    return out.select("fund_id", "value_date", F.when(F.col("value_date") >= F.col("__last"), F.col("__last")).otherwise(F.col("trade_date")).alias("trade_date"))
+    out = out.select("fund_id", "value_date", F.when(F.col("value_date") >= F.col("__last"), F.col("__last")).otherwise(F.col("trade_date")).alias("trade_date"))
+    early = out.where("trade_date is null").limit(5).collect() if required else []
+    if early:
+        raise ValueError(f"no factor date at or before {[(r['fund_id'], str(r['value_date'])) for r in early]}")
+    return out
 
 
 def last_complete_date(exposures: DataFrame, members: DataFrame, column: str = "size", share: float = 0.5) -> DataFrame:
@@ -56,9 +60,9 @@ def holdings_exposure(holdings: DataFrame, exposures: DataFrame, styles: list[st
 
 
 def fund_exposure(holdings: DataFrame, exposures: DataFrame, styles: list[str]) -> DataFrame:
-    """Exposures of funds ``(fund_id, value_date, code, weight)`` on the last factor date at or before each value date."""
+    """Exposures of funds ``(fund_id, value_date, code, weight)`` on the last factor date at or before each value date, which must exist."""
     positions = merged_positions(percent_to_share(holdings, ["fund_id", "value_date"]), ["fund_id", "value_date"])
-    dated = as_of_dates(positions.select("fund_id", "value_date").distinct(), exposures.select("trade_date"))
+    dated = as_of_dates(positions.select("fund_id", "value_date").distinct(), exposures.select("trade_date"), required=True)
     return holdings_exposure(positions.join(dated, ["fund_id", "value_date"]), exposures, styles, ["fund_id", "value_date", "trade_date"])
 
 
@@ -74,23 +78,23 @@ def index_exposure(weights: DataFrame, exposures: DataFrame, styles: list[str])
 def sheet_heads(cells: DataFrame) -> DataFrame:
     """``(fund_id, value_date, head)`` of each sheet: its date and the row and places of its captions, null where it has none."""
     captioned = F.filter(F.transform("cells", captioned_date), lambda d: d.isNotNull())
-    dates = F.filter(F.transform("cells", cell_date), lambda d: d.isNotNull())
-    place = lambda caption: F.expr(f"nullif(cast(array_position(transform(cells, c -> coalesce(contains(c, '{caption}'), false)), true) as int), 0)")
+    place = lambda caption: F.expr(f"nullif(cast(array_position(transform(cells, c -> coalesce(trim(c) = '{caption}', false)), true) as int), 0)")
+    is_head = F.exists("cells", lambda c: F.coalesce(F.contains(c, F.lit(ACCOUNT_CAPTION)), F.lit(False)))
     first = lambda d: F.min_by(F.get(d, F.lit(0)), F.when(F.size(d) > 0, F.col("row_no")))
     named = [F.max(file_date(F.col("file_name")))] if "file_name" in cells.columns else []
     head = F.struct("row_no", place(ACCOUNT_CAPTION).alias("account"), F.coalesce(*[place(c) for c in WEIGHT_CAPTIONS]).alias("weight"))
     return cells.groupBy("fund_id").agg(
-        F.coalesce(first(captioned), *named, first(dates)).alias("value_date"),
-        F.min(F.when((place(ACCOUNT_CAPTION) > 0) & (F.col("row_no") < HEADER_ROWS), head)).alias("head"),
+        F.coalesce(first(captioned), *named).alias("value_date"),
+        F.min(F.when(is_head & (F.col("row_no") < HEADER_ROWS), head)).alias("head"),
     )
 
 
 def parse_valuation_sheet(cells: DataFrame, value_date: str | None = None) -> DataFrame:
     """Positions ``(fund_id, value_date, code, weight)`` of valuation sheets ``(fund_id, row_no, cells array<string>[, file_name])``.
 
-    The date is the first captioned one in any cell, in row order, else that of the file's name, else the first date in any cell; the header
-    is the first of HEADER_ROWS rows with the account caption; primary stock accounts count, or where a sheet has none, rows with a
-    six-digit run; a weight that is no number is null.  A sheet without a date, a header, a weight column or a position is an error, as is
+    The date is the first captioned one in any cell, in row order, else that of the file's name; the header is the first of HEADER_ROWS rows with a
+    cell that holds the account caption, and its columns go by whole captions; primary stock accounts count, or where a sheet has none,
+    rows with a six-digit run; a weight that is no number is null.  A sheet without a date, a header, a weight column or a position is an error, as is
     one whose date isn't ``value_date``, if that is given.
     """
     head = sheet_heads(cells)
@@ -100,9 +104,9 @@ def parse_valuation_sheet(cells: DataFrame, value_date: str | None = None) -> Da
         if other:
             raise ValueError(f"sheets of another date than {value_date}: {[(r['fund_id'], str(r['value_date'])) for r in other]}")
         head = head.withColumn("value_date", given)
-    bad = head.where("value_date is null or head is null or head.weight is null").limit(5).collect()
+    bad = head.where("value_date is null or head is null or head.weight is null or head.account is null").limit(5).collect()
     for r in bad:
-        lacks = "date" if r["value_date"] is None else f"header with {ACCOUNT_CAPTION} in the first {HEADER_ROWS} rows" if r["head"] is None else f"weight column out of {WEIGHT_CAPTIONS}"
+        lacks = "date" if r["value_date"] is None else f"header with {ACCOUNT_CAPTION} in the first {HEADER_ROWS} rows" if r["head"] is None or r["head"]["account"] is None else f"weight column out of {WEIGHT_CAPTIONS}"
         raise ValueError(f"sheet {r['fund_id']} has no {lacks}")
     rows = cells.join(head, "fund_id").where(F.col("row_no") > F.col("head.row_no"))
     rows = rows.select("fund_id", "value_date", F.trim(F.get("cells", F.col("head.account") - 1)).alias("account"), F.expr("try_cast(replace(replace(trim(get(cells, head.weight - 1)), '%', ''), ',', '') as double)").alias("weight"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import json
+import re
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from xml.etree import ElementTree
@@ -12,7 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.codes import to_terminal
 from riskloom.operators.panel import between, nan_to_null
+from riskloom.sources.sinks import settle
 
 # Names under which the date and the net asset value are looked for, in order.
 DATE_NAMES = ["净值日期", "日期", "估值日期", "trade_date", "date"]
@@ -33,12 +37,19 @@ def read_table(spark: SparkSession, path: str, encodings: Iterable[str] = ("utf-
         return spark.read.parquet(path)
     for encoding in encodings:
         df = decoded_csv(spark, path, encoding)
-        lost = [F.contains(F.col(f"`{c}`"), F.lit("\ufffd")) for c in df.columns]
-        if not any("\ufffd" in c for c in df.columns) and not df.where(F.coalesce(F.greatest(F.lit(False), F.lit(False), *lost), F.lit(False))).head(1):
+        lost = occurrences(df, "\ufffd")
+        # A UTF-8 file may hold that character itself, as three bytes of its own.
+        if not lost or (encoding.lower() == "utf-8" and lost == occurrences(decoded_csv(spark, path, "iso-8859-1"), "\ufffd".encode().decode("latin-1"))):
             return df
     raise ValueError(f"{path}: none of {list(encodings)} reads it")
 
 
+def occurrences(df: DataFrame, text: str) -> int:
+    """How often a text occurs in a table of strings, its columns' names included."""
+    found = [F.sum((F.length(c) - F.length(F.replace(c, F.lit(text), F.lit("")))) / len(text)) for c in (F.col(f"`{x}`") for x in df.columns)]
+    return sum(c.count(text) for c in df.columns) + sum(int(x or 0) for x in df.agg(*found).first())
+
+
 def decoded_csv(spark: SparkSession, path: str, encoding: str) -> DataFrame:
     """A CSV with a header, what isn't in the encoding as U+FFFD.  Encodings that Spark lacks are read byte by byte and decoded in tasks."""
     if encoding.lower() in ("utf-8", "utf-16", "iso-8859-1"):
@@ -54,22 +65,66 @@ def decoded_csv(spark: SparkSession, path: str, encoding: str) -> DataFrame:
     return raw.mapInPandas(run, ", ".join(f"`{c}` string" for c in names))
 
 
+# Numbers of the built-in cell formats that show a date.
+DATE_FORMATS = {14, 15, 16, 17, 22, *range(27, 32), 34, 35, 36, *range(50, 59)}
+MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+#: Years that a date cell may have; what lies outside is no date.
+YEARS = (1900, 2200)
+
+
+def date_styles(book: zipfile.ZipFile) -> list[bool]:
+    """Of each cell style of a workbook, whether it shows a date."""
+    if "xl/styles.xml" not in book.namelist():
+        return []
+    root = ElementTree.fromstring(book.read("xl/styles.xml"))
+    own = {f.get("numFmtId"): re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", f.get("formatCode", "")).lower() for f in root.iter(f"{MAIN}numFmt")}
+    shows = lambda i: any(c in own[i] for c in "yd") if i in own else int(i) in DATE_FORMATS
+    styles = root.find(f"{MAIN}cellXfs")
+    return [shows(x.get("numFmtId", "0")) for x in styles] if styles is not None else []
+
+
+def serial_date(text: str, from_1904: bool) -> str:
+    """A date cell's number of days as a date, with the time if it has one; as it is if it is no day of YEARS."""
+    try:
+        days = float(text)
+        start = dt.datetime(1904, 1, 1) if from_1904 else dt.datetime(1899, 12, 31 if days < 60 else 30)
+        at = start + dt.timedelta(seconds=round(days * 86400))
+    except (ValueError, OverflowError):
+        return text
+    if not YEARS[0] <= at.year <= YEARS[1] or days < 0:
+        return text
+    return at.strftime("%Y-%m-%d" if at.time() == dt.time() else "%Y-%m-%d %H:%M:%S")
+
+
 def sheet_rows(data: bytes) -> Iterator[tuple[int, list[str | None]]]:
-    """(row number from 0, cells) of the first sheet of an .xlsx workbook; numbers as they are written, empty cells null."""
-    space = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    """(row number from 0, cells) of the first sheet, in the workbook's order, of an .xlsx workbook; dates as text, numbers as they are written, empty cells null."""
     with zipfile.ZipFile(io.BytesIO(data)) as book:
         names = book.namelist()
         shared = ElementTree.fromstring(book.read("xl/sharedStrings.xml")) if "xl/sharedStrings.xml" in names else []
-        strings = ["".join(t.text or "" for t in item.iter(f"{space}t")) for item in shared]
+        strings = ["".join(t.text or "" for t in item.iter(f"{MAIN}t")) for item in shared]
+        dates, from_1904 = date_styles(book), False
         first = min((n for n in names if n.startswith("xl/worksheets/sheet")), key=lambda n: (len(n), n))
-        for row in ElementTree.fromstring(book.read(first)).iter(f"{space}row"):
+        if "xl/workbook.xml" in names:
+            root = ElementTree.fromstring(book.read("xl/workbook.xml"))
+            setup, sheet = root.find(f"{MAIN}workbookPr"), next(root.iter(f"{MAIN}sheet"), None)
+            from_1904 = setup is not None and setup.get("date1904", "0") in ("1", "true")
+            if sheet is not None and "xl/_rels/workbook.xml.rels" in names:
+                targets = {r.get("Id"): r.get("Target", "") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
+                found = targets.get(sheet.get(RELATION), "")
+                found = found.lstrip("/") if found.startswith("/") else f"xl/{found}"
+                first = found if found in names else first
+        for row in ElementTree.fromstring(book.read(first)).iter(f"{MAIN}row"):
             cells: list[str | None] = []
-            for c in row.iter(f"{space}c"):
+            for c in row.iter(f"{MAIN}c"):
                 at = 0
                 for letter in "".join(x for x in c.get("r", "") if x.isalpha()):
                     at = 26 * at + ord(letter) - 64
                 cells += [None] * (at - 1 - len(cells))
-                text = "".join(t.text or "" for t in c.iter(f"{space}t")) if c.get("t") == "inlineStr" else c.findtext(f"{space}v")
+                text = "".join(t.text or "" for t in c.iter(f"{MAIN}t")) if c.get("t") == "inlineStr" else c.findtext(f"{MAIN}v")
+                style = int(c.get("s", "0"))
+                if text is not None and c.get("t", "n") == "n" and style < len(dates) and dates[style]:
+                    text = serial_date(text, from_1904)
                 cells.append(strings[int(text)] if c.get("t") == "s" and text is not None else text)
             yield int(row.get("r", "1")) - 1, cells
 
@@ -112,7 +167,7 @@ def load_nav(df: DataFrame, fund_id: str = "fund") -> DataFrame:
     date, unit = pick(df, DATE_NAMES), pick(df, NAV_NAMES)
     more = "累计净值" if unit == "单位净值" and "累计净值" in df.columns else None
     rows = df.withColumn("__n", F.monotonically_increasing_id()).select(
-        F.expr(f"try_cast(`{date}` as date)").alias("trade_date"), number(unit).alias("nav"), (number(more) if more else F.lit(None).cast("double")).alias("__c"), "__n"
+        F.expr(f"if(year(try_cast(`{date}` as date)) between {YEARS[0]} and {YEARS[1]}, try_cast(`{date}` as date), null)").alias("trade_date"), number(unit).alias("nav"), (number(more) if more else F.lit(None).cast("double")).alias("__c"), "__n"
     )
     apart = rows.agg(F.max(F.abs(F.col("nav") - F.col("__c"))).alias("__d"))
     rows = rows.join(F.broadcast(apart), F.lit(True)).withColumn("nav", F.when(F.col("__d") > 1e-9, F.col("__c")).otherwise(F.col("nav")))
@@ -143,7 +198,8 @@ def load_style_weights(path: str) -> dict[str, dict[str, float]]:
 
 
 def load_panel(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """A stored panel, sliced by dates (which reach the scan), NaN as null."""
+    """A stored panel, sliced by dates (which reach the scan), NaN as null; an upsert that died is finished first."""
+    settle(spark, path)
     return nan_to_null(between(spark.read.parquet(path), start, end))
 
 
@@ -161,6 +217,23 @@ def first_that_works(sources: list[tuple[str, Callable[[], DataFrame]]]) -> Data
     raise RuntimeError("no source works: " + "; ".join(failed))
 
 
+# Names of industry sources' columns, in order.
+INDUSTRY_CODES = ["first_industry_code", "industry_code", "index_code"]
+INDUSTRY_NAMES = ["first_industry_name", "industry_name", "index_name"]
+
+
+def load_industries(sources: list[tuple[str, Callable[[], DataFrame]]]) -> DataFrame:
+    """``(stock_code, industry_code, industry_name, source)``, all strings, of the first source that works.
+
+    Sources name their columns differently (CODE_NAMES, INDUSTRY_CODES, INDUSTRY_NAMES); a source that lacks one is an error, not a reason to
+    try the next.  Codes get the terminal's suffixes; of repeated codes the smallest industry counts; rows without a code go.
+    """
+    found = first_that_works(sources)
+    code, industry, name = (pick(found, names) for names in (CODE_NAMES, INDUSTRY_CODES, INDUSTRY_NAMES))
+    rows = found.where(F.col(code).isNotNull()).select(to_terminal(F.col(code).cast("string")).alias("stock_code"), F.col(industry).cast("string").alias("industry_code"), F.col(name).cast("string").alias("industry_name"), "source")
+    return rows.groupBy("stock_code").agg(F.min(F.struct("industry_code", "industry_name", "source")).alias("i")).select("stock_code", "i.*")
+
+
 def annual_from_quarters(raw: DataFrame, latest_only: bool = True) -> DataFrame:
     """Annual rows ``(code, year, ...)`` of quarterly reports ``(code, quarter 'YYYYqN', info_date, ...)``; of a quarter's versions the newest."""
     q4 = raw.where(F.lower("quarter").endswith("q4")).withColumn("year", F.substring("quarter", 1, 4).cast("int"))

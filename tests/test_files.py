@@ -32,6 +32,36 @@ def test_upsert_panel(spark, tmp_path):
     assert files.load_panel(spark, p, "2024-01-01", "2024-01-02").count() == 1
 
 
+def test_an_upsert_that_dies(spark, tmp_path, monkeypatch):
+    """Killed before the years are marked as whole nothing has changed; killed after that, the next to open the table finishes."""
+    p = str(tmp_path / "panel")
+    old = [("2023-01-02", "a", 1.0), ("2024-01-02", "a", 2.0)]
+    rows = ((2023, 1, 2), "a", 7.0), ((2024, 1, 3), "a", 5.0)
+    sinks.upsert_panel(frame(spark, ((2023, 1, 2), "a", 1.0), ((2024, 1, 2), "a", 2.0)), p)
+    assert content(spark, p) == old and not sinks.exists(spark, p + ".next")
+
+    class Killed(BaseException):
+        pass
+
+    def die(*_):
+        raise Killed
+
+    for what in ("files", "take_places"):
+        with monkeypatch.context() as m:
+            real = getattr(sinks, what)
+            if what == "files":  # the file system is asked for the mark only after the years are written
+                m.setattr(sinks, what, lambda s, q, real=real: die() if real(s, q).exists(sinks.at(s, p + ".next")) else real(s, q))
+            else:
+                m.setattr(sinks, what, die)
+            with pytest.raises(Killed):
+                sinks.upsert_panel(frame(spark, *rows), p)
+        assert content(spark, p) == old and sinks.exists(spark, p + ".next")
+        if what == "files":
+            assert sorted(files.load_panel(spark, p).select("x").collect()) == [(1.0,), (2.0,)] and not sinks.exists(spark, p + ".next")
+    new = [("2023-01-02", "a", 7.0), ("2024-01-02", "a", 2.0), ("2024-01-03", "a", 5.0)]
+    assert files.load_panel(spark, p).count() == 3 and content(spark, p) == new and not sinks.settle(spark, p)
+
+
 def test_daily_stream(spark, tmp_path):
     drops, table = str(tmp_path / "drops"), str(tmp_path / "table")
     seen = []

@@ -75,6 +75,72 @@ def test_workbooks(spark, tmp_path):
     assert (got["trade_date"], got["nav"]) == (dt.date(2024, 3, 1), 1.25)
 
 
+def dated_workbook(path, from_1904=False):
+    """As a spreadsheet program writes it: dates as styled numbers, the first sheet not the first file."""
+    space = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    cell = lambda at, v, s="": f'<c r="{at}"{s}><v>{v}</v></c>'
+    less = 1462 if from_1904 else 0
+    rows = [(45352 - less, ' s="1"', 1.25), (45353.75 - less, ' s="2"', 1.5), (45354, ' s="3"', 1.75), (99999999, ' s="1"', 2)]
+    body = "".join(f'<row r="{i}">{cell(f"A{i}", d, s)}{cell(f"B{i}", v)}</row>' for i, (d, s, v) in enumerate(rows, 2))
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {space}><workbookPr date1904="{int(from_1904)}"/><sheets><sheet name="b" r:id="r7"/><sheet name="a" r:id="r1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="x"><Relationship Id="r1" Target="worksheets/sheet1.xml"/><Relationship Id="r7" Target="/xl/worksheets/sheet2.xml"/></Relationships>')
+        z.writestr("xl/styles.xml", f'<styleSheet {space}><numFmts><numFmt numFmtId="170" formatCode="[$-804]yyyy&quot;d&quot;mm"/><numFmt numFmtId="171" formatCode="[Red]0.00&quot;yd&quot;"/></numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="170"/><xf numFmtId="171"/></cellXfs></styleSheet>')
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {space}><sheetData/></worksheet>")
+        z.writestr("xl/worksheets/sheet2.xml", f'<worksheet {space}><sheetData><row r="1"><c r="A1" t="inlineStr"><is><t>净值日期</t></is></c><c r="B1" t="inlineStr"><is><t>单位净值</t></is></c></row>{body}</sheetData></worksheet>')
+
+
+@pytest.mark.parametrize("from_1904", [False, True])
+def test_date_cells(spark, tmp_path, from_1904):
+    dated_workbook(tmp_path / "nav.xlsx", from_1904)
+    rows = files.read_sheets(spark, str(tmp_path / "nav.xlsx")).orderBy("row_no").collect()
+    assert [r["cells"][0] for r in rows] == ["净值日期", "2024-03-01", "2024-03-02 18:00:00", "45354", "99999999"]
+    got = files.load_nav(files.read_table(spark, str(tmp_path / "nav.xlsx"))).orderBy("trade_date").collect()
+    assert [(r["trade_date"], r["nav"]) for r in got] == [(dt.date(2024, 3, 1), 1.25), (dt.date(2024, 3, 2), 1.5)]
+    assert files.serial_date("59", False) == "1900-02-28" and files.serial_date("61", False) == "1900-03-01" and files.serial_date("-1", False) == "-1" and files.serial_date("x", False) == "x"
+
+
+def test_a_utf8_file_may_hold_the_replacement_character(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("代码,名称\n1,a\ufffdb\ufffd\n2,万科\n".encode())
+    assert {r["名称"] for r in files.read_table(spark, str(tmp_path / "a.csv")).collect()} == {"a\ufffdb\ufffd", "万科"}
+    (tmp_path / "b.csv").write_bytes("代码,名称\n1,a\ufffd\n".encode() + b"2,\xff\n")
+    with pytest.raises(ValueError, match="none of"):
+        files.read_table(spark, str(tmp_path / "b.csv"), ["utf-8"])
+
+
+def test_industry_sources(spark):
+    rows = [("600000.XSHG", 40, "bank"), ("000001.XSHE", 41, "other"), ("430001.XBJG", 7, None), (None, 1, "x"), ("000001.XSHE", 41, "other")]
+    make = lambda *names: spark.createDataFrame(rows, ", ".join(f"{n} {k}" for n, k in zip(names, ("string", "int", "string"), strict=True)))
+    want = {("600000.SH", "40", "bank"), ("000001.SZ", "41", "other"), ("430001.BJ", "7", None)}
+
+    def broken():
+        raise OSError("not there")
+
+    for names in (("order_book_id", "first_industry_code", "first_industry_name"), ("code", "industry_code", "industry_name"), ("stock_code", "index_code", "index_name")):
+        got = files.load_industries([("a", broken), ("b", lambda names=names: make(*names).limit(0)), ("c", lambda names=names: make(*names))])
+        assert got.columns == ["stock_code", "industry_code", "industry_name", "source"] and got.count() == 3
+        assert {tuple(r)[:3] for r in got.collect()} == want and {r["source"] for r in got.collect()} == {"c"}
+    with pytest.raises(ValueError, match="none of"):
+        files.load_industries([("a", lambda: make("code", "p", "q"))])
+
+
+def test_sheet_columns_go_by_whole_captions(spark):
+    rows = [["估值日期:2024-04-30"], [" 科目代码 ", "市值占净值变动", " 市值占净值% "], ["11020101600000", "7", "60"]]
+    assert exposure.parse_valuation_sheet(sheet(spark, rows)).first()["weight"] == 60.0
+    with pytest.raises(ValueError, match="weight column"):
+        exposure.parse_valuation_sheet(sheet(spark, [rows[0], ["科目代码", "市值占净值变动"], rows[2]]))
+    # A date that isn't named the valuation date is none.
+    with pytest.raises(ValueError, match="date"):
+        exposure.parse_valuation_sheet(sheet(spark, [["成立日期 2010-05-05"], *rows[1:]]))
+
+
+def test_no_factor_date_is_an_error(spark):
+    held = spark.createDataFrame([("f", dt.date(2020, 1, 1), "a", 1.0)], "fund_id string, value_date date, code string, weight double")
+    factors = spark.createDataFrame([(dt.date(2021, 1, 1), "a", 1.0)], "trade_date date, code string, size double")
+    with pytest.raises(ValueError, match="no factor date"):
+        exposure.fund_exposure(held, factors, ["size"])
+
+
 def test_solve_against_a_reduced_problem():
     r = np.random.default_rng(0)
     n = 60
@@ -82,15 +148,16 @@ def test_solve_against_a_reduced_problem():
     s = r.normal(size=(n, 3))
     x, w, y = np.column_stack([np.ones(n), d, s]), r.uniform(0.5, 1.5, n), r.normal(size=n)
     c = d.T @ w
-    f = model._solve(x, w, y, c)
+    solve = lambda x, y: model.least_norm((x.T * w) @ x, x.T @ (w * y), c)
+    f = solve(x, y)
     # Unknowns within the null space of the constraint.
     basis = np.linalg.svd(np.array([[0, *c, 0, 0, 0]]))[2][1:].T
     root = np.sqrt(w)[:, None]
     want = basis @ np.linalg.lstsq(root * x @ basis, root[:, 0] * y, rcond=None)[0]
     assert np.allclose(f, want) and abs(c @ f[1:5]) < 1e-9
-    twice = model._solve(np.column_stack([x, s[:, 0]]), w, y, c)
+    twice = solve(np.column_stack([x, s[:, 0]]), y)
     assert np.allclose(np.column_stack([x, s[:, 0]]) @ twice, x @ want) and np.isclose(twice[5], twice[8])
-    assert model._solve(x, w, y * np.nan, c) is None
+    assert solve(x, y * np.nan) is None
 
 
 @pytest.mark.parametrize("values,large", [([2.0, 3.0, 0.5], True), ([2.0, 0.5, 0.1], False), ([0.9, 1.2], True), ([0.5, 1.2], False), ([None, 2.0], True), ([None], False), ([1.0, 1.0], False)])

@@ -300,7 +300,7 @@ def test_fund_exposure_of_percentages(spark):
 
 
 def test_valuation_sheet_fallback(spark):
-    rows = [("f", 0, ["日期:2024年3月5日", None]), ("f", 1, ["科目代码", "市值占净值%"]), ("f", 2, ["X600000", "12.5%"]), ("f", 3, ["合计", "100"]), ("f", 4, ["Y000001", "n/a"])]
+    rows = [("f", 0, ["估值日期:2024-03-05", None]), ("f", 1, ["科目代码", "市值占净值%"]), ("f", 2, ["X600000", "12.5%"]), ("f", 3, ["合计", "100"]), ("f", 4, ["Y000001", "n/a"])]
     got = exposure.parse_valuation_sheet(spark.createDataFrame(rows, "fund_id string, row_no int, cells array<string>")).orderBy("code").collect()
     assert [tuple(r) for r in got] == [("f", dt.date(2024, 3, 5), "000001.XSHE", None), ("f", dt.date(2024, 3, 5), "600000.XSHG", 12.5)]
 
