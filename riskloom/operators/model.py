@@ -69,9 +69,10 @@ def least_norm(x: np.ndarray, right: np.ndarray, by_industry: np.ndarray) -> np.
     return np.linalg.lstsq(bordered, side, rcond=1 / CONDITION_LIMIT)[0][:k]
 
 
-def date_equations(df: DataFrame, styles: list[str], industry: str = "industry", ret: str = "ret", cap: str = "float_cap") -> DataFrame:
+def date_equations(df: DataFrame, styles: list[str], industry: str = "industry", ret: str = "ret", cap: str = "float_cap", every: bool = False) -> DataFrame:
     """One row a date that has more rows than factors: its industries' cells, which styles it has, their returns, and the least pivot.
 
+    With ``every``, styles that the date lacks count as factors, too, when rows are held against them.
     Styles and returns are taken less their industry means, so only the styles' own equations are left to solve.
     A date's row holds a cell for each industry, whatever the number of securities.
     """
@@ -81,7 +82,7 @@ def date_equations(df: DataFrame, styles: list[str], industry: str = "industry",
     days = cells.groupBy("trade_date").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.sort_array(F.collect_list(F.struct("industry", "w", "m", "g", "have"))).alias("cells"))
     counted = F.aggregate("cells", F.array_repeat(F.lit(0).cast("bigint"), s), lambda a, c: F.zip_with(a, c["have"], lambda x, y: x + y))
     days = days.withColumn("have", F.transform(counted, lambda x: x > 0))
-    days = days.where(F.col("n") > 1 + F.size("cells") + F.size(F.filter("have", lambda x: x)))
+    days = days.where(F.col("n") > 1 + F.size("cells") + (F.lit(s) if every else F.size(F.filter("have", lambda x: x))))
     w = F.col("w")
     g = F.aggregate("cells", F.array_repeat(zeros(s + 1), s), lambda a, c: F.zip_with(a, c["g"], lambda x, y: F.zip_with(x, y, lambda u, v: u + v)))
     square = added(F.transform("cells", lambda c: F.transform(F.slice(c["m"], 1, s), lambda m: c["w"] * m * m)), zeros(s)) if s else zeros(0)
@@ -109,8 +110,8 @@ def factor_returns(df: DataFrame, styles: list[str], industry: str = "industry",
 
 
 def factor_returns_native(df: DataFrame, styles: list[str], industry: str = "industry", ret: str = "ret", cap: str = "float_cap") -> DataFrame:
-    """The same without Python; dates whose styles repeat each other are left out."""
-    return _eliminated(date_equations(df, styles, industry, ret, cap), styles)
+    """The same without Python, for dates with more rows than all factors asked for; dates whose styles repeat each other are left out."""
+    return _eliminated(date_equations(df, styles, industry, ret, cap, every=True), styles)
 
 
 def _eliminated(days: DataFrame, styles: list[str]) -> DataFrame:
