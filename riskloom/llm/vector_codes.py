@@ -5,8 +5,8 @@ packed, where they lie, into blocks of bounded size, and each part of a block ge
 children's centres are farther apart than theirs, and points are kept in the order of a walk through the tree, so that a node's
 points are one stretch of it and *cumulative sums* give their number and sum at once.  A round sends the codebooks to the
 trees.  Where the second-nearest entry of a node's centre is farther than the nearest by more than twice the radius, the triangle inequality
-gives the whole subtree to the nearest entry; only ambiguous nodes descend, and what is left in ambiguous leaves is compared
-exactly, in integers.  A task hands on one sum per part and entry; the codebooks, some thousand integers, are all that the driver holds.
+gives the whole subtree to the nearest entry; only ambiguous nodes descend, with the entries that are still in question, and what is
+left in ambiguous leaves is compared with these exactly, in integers.  A task hands on one sum per part and entry; the codebooks, some thousand integers, are all that the driver holds.
 Trees are written once to the shared folder and reread in every round, so a lost executor costs a reread.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite components are left out; so are those whose dimension isn't that of
@@ -97,31 +97,50 @@ def grow(x: np.ndarray, leaf: int = LEAF) -> Tree:
     return Tree(order, np.array(low), np.array(high), np.array(radius), np.array(child), np.array(children))
 
 
+#: Stands for the distance to an entry that is out of the question.
+NEVER = np.iinfo(np.int64).max
+
+
+def compared(x: np.ndarray, book: np.ndarray, points: np.ndarray, open_: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Squared distances of points to the entries open to them, NEVER to the others.  ``known`` keeps what was computed (-1: not yet), for a centre is
+    met again in its first child."""
+    row, entry = np.nonzero(open_ & (known[points] < 0))
+    known[points[row], entry] = squares(x[points[row]], book[entry])
+    return np.where(open_, known[points], NEVER)
+
+
 def assign(tree: Tree, x: np.ndarray, book: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], tuple[np.ndarray, np.ndarray], int]:
-    """Stretches ``(low, high, entry)`` that go to an entry whole, single points ``(place, entry)``, and how many distances it took."""
+    """Stretches ``(low, high, entry)`` that go to an entry whole, single points ``(place, entry)``, and how many distances it took.
+
+    An entry farther from a node's centre than the nearest by more than twice the radius is out of the question for the whole subtree; a
+    node with one entry left is assigned whole, and the others hand what is left to their children.
+    """
     whole: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    places: list[np.ndarray] = []
-    active, looked = np.zeros(1 if len(tree.order) else 0, dtype=np.int64), 0
+    places, choices = [np.zeros(0, dtype=np.int64)], [np.zeros((0, len(book)), dtype=bool)]
+    active, known = np.zeros(1 if len(tree.order) else 0, dtype=np.int64), np.full((len(x), len(book)), -1)
+    choice = np.ones((len(active), len(book)), dtype=bool)
     while len(active):
-        d = squares(x[tree.order[tree.low[active]]][:, None, :], book)
-        looked += d.size
+        d = compared(x, book, tree.order[tree.low[active]], choice, known)
         best = d.argmin(axis=1)
-        root = np.sqrt(d.astype(np.float64))
-        first = root[np.arange(len(d)), best]
-        root[np.arange(len(d)), best] = np.inf
+        root = np.where(choice, np.sqrt(d.astype(np.float64)), np.inf)
+        first = root[np.arange(len(d)), best][:, None]
         # A small margin stands for the rounding of roots; a node of equal points needs none.
-        sure = (root.min(axis=1) - first > 2 * tree.radius[active] + 1e-6 * (1 + first)) | (tree.radius[active] == 0)
+        choice = root - first <= 2 * tree.radius[active][:, None] + 1e-6 * (1 + first)
+        sure = (choice.sum(axis=1) == 1) | (tree.radius[active] == 0)
         done = active[sure]
         whole.append((tree.low[done], tree.high[done], best[sure]))
-        open_ = active[~sure]
-        leaves = open_[tree.children[open_] == 0]
-        places += [np.arange(lo, hi) for lo, hi in zip(tree.low[leaves], tree.high[leaves], strict=True)]
-        inner = open_[tree.children[open_] > 0]
-        n = tree.children[inner]
-        active = np.repeat(tree.child[inner] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(inner) else inner
-    at = np.concatenate(places) if places else np.zeros(0, dtype=np.int64)
-    exact = squares(x[tree.order[at]][:, None, :], book).argmin(axis=1) if len(at) else np.zeros(0, dtype=np.int64)
-    return whole, (at, exact), looked + len(at) * len(book)
+        active, choice = active[~sure], choice[~sure]
+        leaf = tree.children[active] == 0
+        size = (tree.high - tree.low)[active[leaf]]
+        places += [np.arange(lo, hi) for lo, hi in zip(tree.low[active[leaf]], tree.high[active[leaf]], strict=True)]
+        choices.append(np.repeat(choice[leaf], size, axis=0))
+        inner, n_children = active[~leaf], tree.children[active[~leaf]]
+        choice = np.repeat(choice[~leaf], n_children, axis=0)
+        before = np.concatenate([[0], np.cumsum(n_children)[:-1]]) if len(inner) else n_children
+        active = np.repeat(tree.child[inner] - before, n_children) + np.arange(len(choice))
+    at = np.concatenate(places)
+    d = compared(x, book, tree.order[at], np.concatenate(choices), known)
+    return whole, (at, d.argmin(axis=1)), int((known >= 0).sum())
 
 
 def sums(tree: Tree, x: np.ndarray, book: np.ndarray) -> np.ndarray:
