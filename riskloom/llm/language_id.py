@@ -25,6 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from riskloom.llm.common import give_back, read, slices
 
@@ -154,21 +155,32 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     return Model(idf, owner, np.concatenate(centroids) if centroids else np.zeros((0, DIMENSIONS), np.float32), np.full(len(owner), radius), rich_radius)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``accepted`` (columns of those names are replaced)."""
+def judged(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The columns of ``docs`` as c0, c1 and so on, whatever their names, with ``lang_pred``, ``score`` and ``accepted``."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)
-    fields = [f for f in docs.schema.fields if f.name.lower() not in ("lang_pred", "score", "accepted")]
-    at = [f.name for f in fields].index(text_col)
+    at, names = docs.columns.index(text_col), [f"c{i}" for i in range(len(docs.columns))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             label, score, accepted = sent.value.predict(b.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(label, pa.string()), pa.array(score), pa.array(accepted)], names=[*b.schema.names, "lang_pred", "score", "accepted"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(label, pa.string()), pa.array(score), pa.array(accepted)], names=[*names, "lang_pred", "score", "accepted"])
         give_back()
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", lang_pred string, score double, accepted boolean"
-    return docs.select(*[f"`{f.name}`" for f in fields]).mapInArrow(run, schema)
+    schema = StructType([StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields, strict=True)]).add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
+    return docs.toDF(*names).mapInArrow(run, schema)
+
+
+def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` and ``accepted`` (columns of those names are replaced)."""
+    made = ["lang_pred", "score", "accepted"]
+    kept = [i for i, c in enumerate(docs.columns) if c.lower() not in made]
+    return judged(docs, model, text_col).select(*[f"c{i}" for i in kept], *made).toDF(*[docs.columns[i] for i in kept], *made)
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text isn't rejected, with all their columns and no others."""
+    return judged(docs, model, text_col).where("accepted").select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
