@@ -13,9 +13,12 @@ from riskloom.llm.common import read, stage
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that language ID rejects: no text, no letter, or too far from every language learned."""
+    """Drop documents that language ID rejects: no text, no letter, or too far from every language learned.
+
+    Null texts go; rows that repeat another stay as they are, and columns of any name are kept; no rows give none.
+    """
     model = language_id.fit(docs.where(~language_id.held_out()))
-    return language_id.predict(docs, model).where("accepted").select(*docs.columns)
+    return language_id.accepted(docs, model)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
