@@ -8,7 +8,7 @@ leading PREFIX_HEX digits, an equi-join, and then in full.
 Defined cases: a null URL or one without ``://`` has an empty host and path, fits no rule and gets the default verdict;
 of the rules that fit, the longest wins (then the longer host, then the smaller text, then block over allow); a rule
 given twice counts once; rules with a null host, path or verdict are ignored; repeated rows and null ids keep their rows; no rules or no pages are fine; other
-columns don't matter.
+columns don't matter.  URLs without a host aren't joined at all, and popular sites go by broadcast whether a rule fits them or not.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import join_unique, read, stage
+from riskloom.llm.common import HOT_SHARE, join_unique, read, stage
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 PREFIX_HEX = 8
@@ -67,18 +67,25 @@ def judge(pages: DataFrame, rules: DataFrame | Iterable[tuple[str, str, str]] =
     # Path lengths and label counts are few: no rule is longer than a URL may be.
     shapes = table.select("labels", (F.col("best.size") - F.col("best.host_size")).alias("length")).distinct().collect()
     small = table.count() <= BROADCAST_RULES
+    # One more row, of the empty expression, which no rule has: popular sites ask for it, so they are found without a rule, too.
+    none = F.sha2(F.lit(""), 256)
+    empty = pages.sparkSession.range(1).select(F.substring(none, 1, PREFIX_HEX).alias("prefix"), none.alias("digest"), F.lit(None).cast(table.schema["best"].dataType).alias("best"))
+    table = table.select("prefix", "digest", "best").unionByName(empty)
     keep = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     url = F.col(f"`{url_col}`")
     own = pages.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], host_of(url).alias("host"), path_of(url).alias("path"))
+    total = own.count()
+    popular = F.when(F.col("pages") >= max(1, int(total * HOT_SHARE)), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
     # A path is empty or begins with a slash, which no host has: the two together name a site.
-    own = own.withColumn("site", F.concat("host", "path"))
-    sites = own.where("host <> ''").groupBy("site").agg(F.first("host").alias("host"), F.first("path").alias("path"), F.count("*").alias("pages"))
+    hosted = own.where("host <> ''").withColumn("site", F.concat("host", "path"))
+    sites = hosted.groupBy("site").agg(F.first("host").alias("host"), F.first("path").alias("path"), F.count("*").alias("pages"))
     each = expressions(F.col("host"), F.col("path"), sorted({r["labels"] for r in shapes}), sorted({r["length"] for r in shapes}))
-    asked = sites.select("site", "pages", F.explode(each).alias("expression")).select("site", "pages", F.sha2("expression", 256).alias("asked")).withColumn("prefix", F.substring("asked", 1, PREFIX_HEX))
+    asked = sites.select("site", "pages", F.explode(F.concat(each, popular)).alias("expression")).select("site", "pages", F.sha2("expression", 256).alias("asked")).withColumn("prefix", F.substring("asked", 1, PREFIX_HEX))
     fits = asked.join(F.broadcast(table) if small else table, "prefix").where("asked = digest")
     found = stage(fits.groupBy("site").agg(F.max("best").alias("best"), F.first("pages").alias("pages")), "found")
-    # Pages of a site that is asked for very often don't move.
-    judged = join_unique(own, found, "site", F.col("pages"), own.count())
+    # Pages of a popular site don't move, nor do those without a host; the rest is spread by site.
+    judged = join_unique(hosted, found, "site", F.col("pages"), total).select(*own.columns, "best")
+    judged = judged.unionByName(own.where("host = ''").withColumn("best", F.lit(None).cast(found.schema["best"].dataType)))
     return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
 

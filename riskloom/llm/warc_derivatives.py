@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import gzip
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.entities import html5
 
 import pandas as pd
@@ -27,6 +27,7 @@ BREAKS = r"(?i)</?(p|div|br|li|ul|ol|tr|td|th|table|h1|h2|h3|h4|h5|h6|article|se
 #: Character references, which end with a semicolon: the named ones are those of HTML 5; no-break space becomes a space.
 NAMED = {f"&{k}": v.replace("\xa0", " ") for k, v in html5.items() if k.endswith(";")}
 TOKENS = r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[A-Za-z][A-Za-z0-9]{0,31};|[^&]+|&"
+HTML_LANG = r"""(?i)<html[^>]*(\slang="[^"]*")"""
 HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
@@ -57,25 +58,55 @@ def unescaped(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.regexp_extract_all(text, F.lit(TOKENS), F.lit(0)), decoded), "")).otherwise(text)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def with_closed(text: Column, change: Callable[[Column], Column]) -> Column:
+    """``change`` of the text up to its last ``>``; behind it no tag ends, and each ``<`` there would be read to the end for nothing."""
+    return let(text, lambda t: let(F.regexp_extract(t, r"(?s)^.*>", 0), lambda h: F.concat(change(h), F.substring(t, F.length(h) + 1, F.length(t)))))
+
+
+def without_elements(text: Column, opening: str, closing: str, begin: str) -> Column:
+    """The text with a space for each element.  Behind the first opening without an end none has one: that rest stays unread.
+
+    ``begin`` is what all openings begin with; ``opening`` without its ``>`` may end the text, too.
+    """
+    rest = F.lit(rf"(?is){opening}.*?{closing}|({opening}.*\z|{begin}(?:\s[^>]*)?\z)")
+    unread = lambda t: F.length(F.coalesce(F.try_element_at(F.regexp_extract_all(t, rest, F.lit(1)), F.lit(-1)), F.lit("")))
+    cut = lambda t: let(F.length(t) - unread(t), lambda n: F.concat(F.regexp_replace(F.substring(t, F.lit(1), n), rf"(?is){opening}.*?{closing}", " "), F.substring(t, n + 1, F.length(t))))
+    return let(text, lambda t: F.when(F.rlike(t, F.lit(f"(?i){begin}")), cut(t)).otherwise(t))
+
+
 def plain_text(html: Column) -> Column:
-    t = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
+    """The text of a page, in time proportional to its length whatever is left open in it."""
+    t = without_elements(html, "<!--", "-->", "<!--")
     for tag in ("script", "style", "noscript"):
-        t = F.regexp_replace(t, rf"(?is)<{tag}(\s[^>]*)?>.*?</{tag}\s*>", " ")
-    t = F.regexp_replace(F.regexp_replace(t, BREAKS, "\n"), r"<[^>]*>", "")
-    t = F.regexp_replace(unescaped(t), r"[ \t\r\f]+", " ")
+        t = without_elements(t, rf"<{tag}(?:\s[^>]*)?>", rf"</{tag}\s*>", f"<{tag}")
+    t = with_closed(t, lambda h: F.regexp_replace(h, BREAKS, "\n"))
+    t = with_closed(t, lambda h: F.regexp_replace(h, r"<[^>]*>", ""))
+    t = F.regexp_replace(let(t, unescaped), r"[ \t\r\f]+", " ")
     return F.trim(F.regexp_replace(t, r" ?\n[ \n]*", "\n"), F.lit("\n "))
 
 
 def tidy(text: Column) -> Column:
-    return F.trim(F.regexp_replace(unescaped(F.regexp_replace(text, r"<[^>]*>", "")), r"\s+", " "), F.lit(" "))
+    bare = with_closed(text, lambda h: F.regexp_replace(h, r"<[^>]*>", ""))
+    return F.trim(F.regexp_replace(let(bare, unescaped), r"\s+", " "), F.lit(" "))
 
 
 def page_metadata(html: Column) -> Column:
-    """The fields of the metadata record, a line each (application/warc-fields)."""
-    links = F.array_distinct(F.transform(F.regexp_extract_all(html, F.lit(HREF), F.lit(1)), lambda x: unescaped(F.regexp_replace(x, "^[\"']|[\"']$", ""))))
+    """The fields of the metadata record, a line each (application/warc-fields).
+
+    What is opened and doesn't become a title, a language or a link takes the rest of its tag (a title: of the page) with it, for
+    no later start within would fare better.
+    """
+    found = F.filter(F.regexp_extract_all(html, F.lit(HREF + r"|<a\s[^>]*"), F.lit(1)), lambda x: x != "")
+    links = F.array_distinct(F.transform(found, lambda x: unescaped(F.regexp_replace(x, "^[\"']|[\"']$", ""))))
+    language = F.get(F.filter(F.regexp_extract_all(html, F.lit(HTML_LANG + "|<html[^>]*"), F.lit(1)), lambda x: x != ""), F.lit(0))
     lines = [
-        F.concat(F.lit("title: "), tidy(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)), F.lit("\r\n")),
-        F.concat(F.lit("lang: "), F.regexp_extract(html, r'(?i)<html[^>]*\slang="([^"]*)"', 1), F.lit("\r\n")),
+        F.concat(F.lit("title: "), tidy(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>|<title.*", 1)), F.lit("\r\n")),
+        F.concat(F.lit("lang: "), F.coalesce(F.regexp_extract(language, r'"([^"]*)"', 1), F.lit("")), F.lit("\r\n")),
         F.array_join(F.transform(links, lambda x: F.concat(F.lit("outlink: "), x, F.lit("\r\n"))), ""),
     ]
     return F.concat(*lines)
