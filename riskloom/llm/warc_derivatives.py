@@ -27,8 +27,10 @@ BREAKS = r"(?i)</?(p|div|br|li|ul|ol|tr|td|th|table|h1|h2|h3|h4|h5|h6|article|se
 #: Character references, which end with a semicolon: the named ones are those of HTML 5; no-break space becomes a space.
 NAMED = {f"&{k}": v.replace("\xa0", " ") for k, v in html5.items() if k.endswith(";")}
 TOKENS = r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[A-Za-z][A-Za-z0-9]{0,31};|[^&]+|&"
-HTML_LANG = r"""(?i)<html[^>]*(\slang="[^"]*")"""
 HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+#: A link or the rest of a tag without one; the language of a page's tag or the rest of the tag.
+LINK = r"""(?i)<a\s(?:(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|[^>]*)"""
+PAGE_LANG = r"""(?i)<html(?:[^>]*(\slang="[^"]*")|[^>]*)"""
 
 
 def uuid_of(key: Column) -> Column:
@@ -65,26 +67,48 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def with_closed(text: Column, change: Callable[[Column], Column]) -> Column:
     """``change`` of the text up to its last ``>``; behind it no tag ends, and each ``<`` there would be read to the end for nothing."""
-    return let(text, lambda t: let(F.regexp_extract(t, r"(?s)^.*>", 0), lambda h: F.concat(change(h), F.substring(t, F.length(h) + 1, F.length(t)))))
 
+    def split(t: Column) -> Column:
+        after = F.substring_index(t, ">", -1)
+        return F.when(F.contains(after, F.lit("<")), F.concat(change(F.substring(t, F.lit(1), F.length(t) - F.length(after))), after)).otherwise(change(t))
 
-def without_elements(text: Column, opening: str, closing: str, begin: str) -> Column:
-    """The text with a space for each element.  Behind the first opening without an end none has one: that rest stays unread.
+    return let(text, split)
 
-    ``begin`` is what all openings begin with; ``opening`` without its ``>`` may end the text, too.
+
+#: What an element without text begins with, the end of that opening, and the element's end.
+ELEMENTS = [("<!--", "", "-->")] + [(f"<{tag}", r"(?:\s[^>]*)?>", rf"</{tag}\s*>") for tag in ("script", "style", "noscript")]
+#: Openings on a page that are looked for without care: each may be read to the page's end.
+CARELESS = 64
+
+
+def without_elements(text: Column) -> Column:
+    """The text with a space for each comment, script, style and noscript element.
+
+    Behind the first opening without an end no other has one: on pages with many openings that rest is set aside first.
     """
-    rest = F.lit(rf"(?is){opening}.*?{closing}|({opening}.*\z|{begin}(?:\s[^>]*)?\z)")
-    unread = lambda t: F.length(F.coalesce(F.try_element_at(F.regexp_extract_all(t, rest, F.lit(1)), F.lit(-1)), F.lit("")))
-    cut = lambda t: let(F.length(t) - unread(t), lambda n: F.concat(F.regexp_replace(F.substring(t, F.lit(1), n), rf"(?is){opening}.*?{closing}", " "), F.substring(t, n + 1, F.length(t))))
-    return let(text, lambda t: F.when(F.rlike(t, F.lit(f"(?i){begin}")), cut(t)).otherwise(t))
+
+    def plain(t: Column) -> Column:
+        for begin, opened, end in ELEMENTS:
+            t = F.regexp_replace(t, f"(?is){begin}{opened}.*?{end}", " ")
+        return t
+
+    def cut(whole: str, left_open: str) -> Callable[[Column], Column]:
+        found = F.lit(f"{whole}|({left_open})")
+        left = lambda t: F.length(F.coalesce(F.try_element_at(F.regexp_extract_all(t, found, F.lit(1)), F.lit(-1)), F.lit("")))
+        return lambda t: let(F.length(t) - left(t), lambda n: F.concat(F.regexp_replace(F.substring(t, F.lit(1), n), whole, " "), F.substring(t, n + 1, F.length(t))))
+
+    def careful(t: Column) -> Column:
+        for begin, opened, end in ELEMENTS:
+            t = let(t, cut(f"(?is){begin}{opened}.*?{end}", rf"{begin}{opened}.*\z|{begin}(?:\s[^>]*)?\z"))
+        return t
+
+    begins = "(?i)<(?:" + "|".join(begin[1:] for begin, _, _ in ELEMENTS) + ")"
+    return let(text, lambda t: F.when(F.regexp_count(t, F.lit(begins)) <= CARELESS, plain(t)).otherwise(careful(t)))
 
 
 def plain_text(html: Column) -> Column:
     """The text of a page, in time proportional to its length whatever is left open in it."""
-    t = without_elements(html, "<!--", "-->", "<!--")
-    for tag in ("script", "style", "noscript"):
-        t = without_elements(t, rf"<{tag}(?:\s[^>]*)?>", rf"</{tag}\s*>", f"<{tag}")
-    t = with_closed(t, lambda h: F.regexp_replace(h, BREAKS, "\n"))
+    t = with_closed(without_elements(html), lambda h: F.regexp_replace(h, BREAKS, "\n"))
     t = with_closed(t, lambda h: F.regexp_replace(h, r"<[^>]*>", ""))
     t = F.regexp_replace(let(t, unescaped), r"[ \t\r\f]+", " ")
     return F.trim(F.regexp_replace(t, r" ?\n[ \n]*", "\n"), F.lit("\n "))
@@ -101,11 +125,13 @@ def page_metadata(html: Column) -> Column:
     What is opened and doesn't become a title, a language or a link takes the rest of its tag (a title: of the page) with it, for
     no later start within would fare better.
     """
-    found = F.filter(F.regexp_extract_all(html, F.lit(HREF + r"|<a\s[^>]*"), F.lit(1)), lambda x: x != "")
+    found = F.filter(F.regexp_extract_all(html, F.lit(LINK), F.lit(1)), lambda x: x != "")
     links = F.array_distinct(F.transform(found, lambda x: unescaped(F.regexp_replace(x, "^[\"']|[\"']$", ""))))
-    language = F.get(F.filter(F.regexp_extract_all(html, F.lit(HTML_LANG + "|<html[^>]*"), F.lit(1)), lambda x: x != ""), F.lit(0))
+    # The first tag mostly has the language; only where it hasn't, the others are looked at.
+    named = F.get(F.filter(F.regexp_extract_all(html, F.lit(PAGE_LANG), F.lit(1)), lambda x: x != ""), F.lit(0))
+    language = let(F.regexp_extract(html, PAGE_LANG, 1), lambda x: F.when(x != "", x).otherwise(named))
     lines = [
-        F.concat(F.lit("title: "), tidy(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>|<title.*", 1)), F.lit("\r\n")),
+        F.concat(F.lit("title: "), tidy(F.regexp_extract(html, r"(?is)<title(?:[^>]*>(.*?)</title>|.*)", 1)), F.lit("\r\n")),
         F.concat(F.lit("lang: "), F.coalesce(F.regexp_extract(language, r'"([^"]*)"', 1), F.lit("")), F.lit("\r\n")),
         F.array_join(F.transform(links, lambda x: F.concat(F.lit("outlink: "), x, F.lit("\r\n"))), ""),
     ]

@@ -5,6 +5,7 @@ import random
 import re
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskloom.llm import byte_bpe, url_filter, warc_derivatives
@@ -32,7 +33,9 @@ def made(spark, pages):
     return [tuple(r)[1:] for r in sorted(rows)]
 
 
-def test_open_tags_change_no_result(spark):
+@pytest.mark.parametrize("careless", [0, warc_derivatives.CARELESS])
+def test_open_tags_change_no_result(spark, monkeypatch, careless):
+    monkeypatch.setattr(warc_derivatives, "CARELESS", careless)
     draw = random.Random(7)
     pages = ["".join(draw.choices(PIECES, k=draw.randint(0, 25))) for _ in range(4000)]
     for page, got in zip(pages, made(spark, pages), strict=True):
