@@ -11,6 +11,8 @@ ids keep their rows; an empty table gives no rows; only the named columns are lo
 from __future__ import annotations
 
 import base64
+import bisect
+import functools
 import json
 
 from collections.abc import Iterator
@@ -29,6 +31,8 @@ from riskloom.llm.common import read, slices
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Characters of a chunk and of its overlap with the next one, and the length up to which a text is one chunk.
 CHUNK, OVERLAP, LONG = 8_192, 256, 8_192
+#: Pre-tokens whose ids a worker remembers, the latest used, and their longest length.
+KNOWN, KNOWN_CHARS = 65_536, 32
 _loaded: dict[str, "Encoder"] = {}
 
 
@@ -75,6 +79,7 @@ class Encoder:
         self.bytes_of: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for k, v in ranks.items():
             self.bytes_of[v] = k
+        self.known = functools.lru_cache(KNOWN)(self.encode)
         self.added = load_added(path)
         # Of those that start at the same place the longest matches.
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
@@ -92,6 +97,11 @@ class Encoder:
         parts = self.split.split(text)
         return b"".join([np.array([self.added[p]], dtype="<u4").tobytes() if i % 2 else self.encode(p) for i, p in enumerate(parts)])
 
+    def encode_pieces(self, text: str, ends: list[int]) -> bytes:
+        """Ids of a text cut into its pre-tokens, which end at ``ends``; those of KNOWN_CHARS and less are remembered."""
+        pieces = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return b"".join([self.known(p) if len(p) <= KNOWN_CHARS else self.encode(p) for p in pieces])
+
     def borders(self, text: str) -> list[int]:
         """Ends of the pre-tokens of a text read from its start."""
         return [m.end() for m in self.pattern.finditer(text)]
@@ -128,8 +138,9 @@ def stitch(text: str, chunk: int, overlap: int, found: list[list[int]], borders)
     while i < len(found):
         start = i * chunk
         theirs = [start + x for x in found[i]]
-        end_mine, known = min(len(text), start + overlap), set(theirs)
-        meet = next((p for p in mine if start < p < end_mine and p in known and not text[p - 1].isspace()), None)
+        end_mine = min(len(text), start + overlap)
+        known = set(theirs[: bisect.bisect_left(theirs, end_mine)])
+        meet = next((p for p in mine[bisect.bisect_right(mine, start) :] if p in known and not text[p - 1].isspace()), None)
         if meet is None:
             # Read on from the last sure border, through this chunk's end; it becomes the left side of the next overlap.  Each time
             # that fails again twice as many chunks are read, so the reading stays in proportion to the text.
@@ -139,8 +150,8 @@ def stitch(text: str, chunk: int, overlap: int, found: list[list[int]], borders)
             far *= 2
             continue
         far = 1
-        whole += [p for p in mine if p <= meet]
-        mine = [p for p in theirs if p > meet]
+        whole += mine[: bisect.bisect_right(mine, meet)]
+        mine = theirs[bisect.bisect_right(theirs, meet) :]
         i += 1
     return whole + mine
 
@@ -172,8 +183,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
         df = df.sort_values("at")
         whole = "".join([t[:chunk] for t in df["piece"]])
         ends = stitch(whole, chunk, overlap, [unmarked(x) for x in df["ends"]], enc.borders)
-        parts = [enc.encode(whole[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
-        return pd.DataFrame({"id": [df["id"].iloc[0]], "ids": [np.frombuffer(b"".join(parts), dtype="<i4")]})
+        return pd.DataFrame({"id": [df["id"].iloc[0]], "ids": [np.frombuffer(enc.encode_pieces(whole, ends), dtype="<i4")]})
 
     brief = rows.where(F.length("text") <= long_chars).mapInArrow(short, schema)
     cut = rows.where(F.length("text") > long_chars).withColumn("row_no", F.monotonically_increasing_id())
