@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+import tokenizers
 from conftest import DATA, same_rows
 from pyspark.sql import functions as F
 
@@ -446,8 +447,8 @@ def test_exact_dedup_runs_no_python(spark):
 
 # --- 9
 def held(pieces, texts, end=1):
-    enc = byte_bpe.encoder(packing.VOCABULARY)
-    ids = {i: [*np.frombuffer(enc.encode(t or ""), dtype="<u4").tolist(), end] for i, t in texts}
+    known = tokenizers.Tokenizer.from_file(packing.VOCABULARY)
+    ids = {i: [*known.encode(t or "", add_special_tokens=False).ids, end] for i, t in texts}
     docs, windows = collections.defaultdict(list), collections.defaultdict(list)
     for r in pieces:
         docs[r["doc_id"]].append(r)
