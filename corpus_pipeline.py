@@ -22,23 +22,38 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays: the longest, then the one of smallest id."""
+    """One document of each group of equal texts stays: the longest, then the one of smallest id.
+
+    Null and white texts equal empty ones; null ids come last; of rows of the same id and text one stays; columns of any name are
+    kept; no rows give none.
+    """
     return exact_dedup.exact_dedup(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, that of the smallest id: SimHash's candidates, completed by an index and
-    verified, link what has a similarity of 0.8 and more in shingles of five words."""
+    verified, link what has a similarity of 0.8 and more in shingles of five words.
+
+    Texts without a word are similar to nothing and stay; fewer than five words are one shingle; null ids come last; of repeated
+    rows with a word one stays; columns of any name are kept; no rows give none.
+    """
     return similar_dedup.near_dedup(docs)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 bytes and more that an earlier document has, too, are cut out."""
+    """Passages of 50 bytes and more that a document of a smaller id has, too, are cut out.
+
+    All rows stay, those of one id as they are; null ids come after all others and are one id; bytes of a character cut in two go; null texts
+    hold nothing; columns of any name are kept; no rows give none.
+    """
     return suffix_dedup.dedup(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 2048 tokens."""
+    """Pieces of documents in sequences of at most 2048 tokens.
+
+    Null and empty texts are their end token alone; repeated rows are packed each; no rows give none; only ids and texts are looked at.
+    """
     return packing.digest(packing.pack(docs))
 
 
