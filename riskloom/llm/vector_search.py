@@ -8,7 +8,7 @@ recomputed in double precision and kept in a heap per query, which a task carrie
 tasks are merged at the end.  The result is exact.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and rows with a null id, take no
-part; a query meets vectors of its own dimension only; its own id is no candidate; repeated ids are candidates each;
+part; a query meets vectors of its own dimension only; rows of its own id are no candidates; repeated ids are candidates each, and queries that share an id one list;
 ties go to the smaller id; fewer candidates than k give all; empty tables give no rows; other columns don't matter.
 """
 
