@@ -2,7 +2,7 @@
 
 A text is its vector of hashed byte trigrams (lower case, whatever isn't a letter taken as one space), weighted by log(1 + tf) * idf and of length
 one.  Document frequencies are counted over all training documents.  Spherical k-means on a bounded sample of them (at
-most ``fit_rows`` rows, dealt to the languages evenly by a hash of the id) gives each language a few centroids.  A text gets the language of the
+most ``fit_rows`` rows, dealt to the languages evenly by a hash of the id; of more languages than that, the first by name) gives each language a few centroids.  A text gets the language of the
 centroid of greatest cosine, and is rejected where its distance 1 - cosine exceeds the radius: the quantile ``share`` of the
 distances that the first ``CUT`` characters of the sample's texts have to their own language.  Short cuts are farther off than whole texts, so clean
 texts stay however short they are, while words of other languages, farther still, go at any length.  Noise meets more trigrams the
