@@ -269,11 +269,18 @@ def induced(s: np.ndarray, wanted: np.ndarray, seeds: Callable[[int], np.ndarray
         pos, kind, link = np.concatenate(nodes), np.concatenate(kinds), np.concatenate(keys)
         symbol = s[pos].astype(np.int64)
         symbol = symbol - symbol.min() if down else symbol.max() - symbol  # below ``memory``
-        chained, key, rank = kind == 1, link.copy(), np.zeros(total, dtype=np.int64)
-        for i in range(1 + min(levels, depth)):
-            key[chained] = rank[link[chained]] if i else 0
-            order = np.argsort(((3 * symbol + kind) << 40) + key)
-            rank[order] = np.arange(total)
+        # What the range itself induces ties at first, symbol by symbol; only what is still tied is looked at again, by its inducers' places.
+        key = ((3 * symbol + kind) << 40) + np.where(kind == 1, 0, link)
+        order = np.argsort(key)
+        first = np.append(True, key[order][1:] != key[order][:-1])
+        rank = np.empty(total, dtype=np.int64)
+        rank[order] = np.maximum.accumulate(np.where(first, np.arange(total), 0))
+        live = np.sort(order[~(first & np.append(first[1:], True))])
+        for _ in range(min(levels, depth)):
+            if not len(live):
+                break
+            live = refined(rank, live, rank[link[live]])
+        order = np.argsort(rank, kind="stable")
         pos, kind = pos[order], kind[order]
         out.push(r, pos[kind < 2])
         before = pos[pos > 0] - 1
@@ -328,21 +335,21 @@ def direct_lcp(s: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
 
 
 class RangeMinimum:
+    """Minima of ranges from those of powers of two, a row of the table each."""
+
     def __init__(self, g: np.ndarray):
-        self.levels, n = [g], 1
-        while 2 * n <= len(g):
-            self.levels.append(np.minimum(self.levels[-1][:-n], self.levels[-1][n:]))
-            n *= 2
+        self.n = len(g)
+        self.table = np.empty((max(1, self.n.bit_length()), self.n), dtype=g.dtype)
+        self.table[0] = g
+        for k in range(1, len(self.table)):
+            half, size = 1 << (k - 1), self.n - (1 << k) + 1
+            np.minimum(self.table[k - 1, :size], self.table[k - 1, half : half + size], out=self.table[k, :size])
 
     def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Least of g[a..b], a <= b."""
-        k = np.frexp((b - a + 1).astype(np.float64))[1] - 1
-        out = np.empty(len(a), dtype=self.levels[0].dtype)
-        for level in np.nonzero(np.bincount(k))[0].tolist():
-            i = k == level
-            t = self.levels[level]
-            out[i] = np.minimum(t[a[i]], t[b[i] - (1 << level) + 1])
-        return out
+        k = np.frexp((b - a + 1).astype(np.float64))[1].astype(np.int64) - 1
+        row, flat = k * self.n, self.table.reshape(-1)
+        return np.minimum(flat[row + a], flat[row + b - (np.int64(1) << k) + 1])
 
 
 class Induction:
