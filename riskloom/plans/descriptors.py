@@ -16,7 +16,8 @@ from riskloom.functions.numeric import log, ratio
 from riskloom.operators.model import composed
 from riskloom.operators.panel import interior_fill
 from riskloom.operators.rolling import report_trend, rolling_wls, with_blocks, with_deviation, with_log_turnover, with_range, with_strength
-from riskloom.operators.xsection import orthogonalize, residual, standardize, unit_scaled
+from riskloom.operators.xsection import orthogonalized, residual, standardize, unit_scaled
+from riskloom.sources.staging import staged
 
 
 @dataclass(frozen=True)
@@ -165,10 +166,14 @@ def raw_descriptors(panel: DataFrame, windows: Windows = Windows(), wanted: list
 def descriptors(panel: DataFrame, windows: Windows = Windows(), wanted: list[str] | None = None, **more) -> DataFrame:
     """``(trade_date, code, industry, ret, float_cap)`` and the standardised descriptors of the wanted factors."""
     df, names = raw_descriptors(panel, windows, wanted, **more)
-    df = standardize(df, names).select("trade_date", "code", "industry", "ret", "float_cap", *names)
+    # Written once: the rolling windows are costly, and each step of the cross-sections reads the frame.
+    df = staged(df.select("trade_date", "code", "industry", "ret", "float_cap", *names), "descriptors")
+    df = standardize(df, names)
     if "lncap" in names:
         cubed = residual(df.withColumn("__c", F.pow("lncap", F.lit(3.0))), "__c", ["lncap"], "float_cap", "nlsize")
         df = standardize(cubed.drop("__c"), ["nlsize"])
+    # Again, so that what follows carries a few columns and no sums of all descriptors.
+    df = staged(df, "standardised")
     return df.withColumn("hsigma", F.col("sigma")) if {"sigma", "dastd"} <= set(names) else df
 
 
@@ -177,7 +182,4 @@ def style_table(described: DataFrame, styles: dict[str, dict[str, float]] = STYL
     found = {s: composed(described.columns, weights) for s, weights in styles.items()}
     made = [s for s, c in found.items() if c is not None]
     df = described.select("trade_date", "code", "industry", "ret", "float_cap", *[found[s].alias(s) for s in made])
-    for s, refs in {} if plain else orthogonal.items():
-        if s in made and all(r in made for r in refs):
-            df = orthogonalize(df, s, refs)
-    return df
+    return orthogonalized(df, {s: refs for s, refs in ({} if plain else orthogonal).items() if s in made and all(r in made for r in refs)})

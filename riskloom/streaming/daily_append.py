@@ -17,6 +17,7 @@ from riskloom.operators.xsection import standardize
 from riskloom.plans.descriptors import Windows, raw_descriptors
 from riskloom.sources.files import load_panel
 from riskloom.sources.sinks import upsert_panel
+from riskloom.sources.staging import staged, unstaged
 
 #: Factors whose values depend on what is past only: the others fill gaps with what comes after, or need reports.
 TRAILING = ("size", "beta", "momentum", "liquidity")
@@ -63,8 +64,10 @@ def bring_up(spark: SparkSession, table: str, out: str, since: str, windows: Win
     dense = densify(slice_.drop("industry"), kept, industry).join(F.broadcast(series), "trade_date")
     df, names = raw_descriptors(dense, windows, list(wanted))
     names = [n for n in names if n in df.columns]
+    df = staged(df.select(*KEY, "float_cap", *names), "descriptors")
     new = standardize(df, names).where(F.col("trade_date") >= F.lit(since).cast("date"))
     upsert_panel(new.select(*KEY, *names), out)
+    unstaged(df)
 
 
 def follow(spark: SparkSession, drops: str, schema: StructType, table: str, out: str, checkpoint: str, windows: Windows = Windows(), wanted: tuple[str, ...] = TRAILING, files_per_batch: int | None = None) -> StreamingQuery:
