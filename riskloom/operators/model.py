@@ -7,9 +7,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.numeric import total
+from riskloom.functions.numeric import ratio, total
 from riskloom.operators.gram import WEAK_PIVOT, added, centred_products, dot, eliminate, zeros
-from riskloom.operators.xsection import sqrt_cap_weight
+from riskloom.operators.xsection import day, with_days
 from riskloom.sources.staging import staged
 
 #: Directions of the normal equations that are weaker than the strongest by this are left out.
@@ -33,9 +33,14 @@ def estimation_sample(df: DataFrame, industry: str = "industry", ret: str = "ret
     return df.where(F.col(industry).isNotNull() & F.col(ret).isNotNull() & (F.col(cap) > 0))
 
 
+def root_cap(cap: str) -> Column:
+    return F.sqrt(F.when(F.col(cap) >= 0, F.col(cap)))
+
+
 def industry_weights(df: DataFrame, industry: str = "industry", cap: str = "float_cap") -> DataFrame:
     """Each industry's share of the root-cap weights, per date."""
-    return df.withColumn("__w", sqrt_cap_weight(cap)).groupBy("trade_date", industry).agg(F.sum("__w").alias("weight"))
+    sums = df.groupBy("trade_date", industry).agg(F.sum(root_cap(cap)).alias("__w"))
+    return sums.select("trade_date", industry, ratio(F.col("__w"), F.sum("__w").over(day())).alias("weight"))
 
 
 def normal_equations(cells: list, have: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,7 +154,7 @@ def constraint_residual(returns: DataFrame, weights: DataFrame) -> DataFrame:
 
 def normal_residual(df: DataFrame, returns: DataFrame, styles: list[str], cap: str = "float_cap") -> DataFrame:
     """Per date: the greatest weighted sum of what the factors leave over, by industry or times a style; all are 0 up to rounding."""
-    sample = estimation_sample(df, cap=cap).withColumn("__w", sqrt_cap_weight(cap))
+    sample = with_days(estimation_sample(df, cap=cap), {"__total": F.sum(root_cap(cap))}).withColumn("__w", ratio(root_cap(cap), F.col("__total")))
     wide = returns.where("factor_group <> 'industry'").groupBy("trade_date").agg(*[F.max(F.when(F.col("factor") == f, F.col("value"))).alias(f"f_{f}") for f in ["country", *styles]])
     own = returns.where("factor_group = 'industry'").select("trade_date", F.col("factor").alias("industry"), F.col("value").alias("__i"))
     left = F.col("ret") - F.col("f_country") - F.col("__i")
@@ -163,8 +168,8 @@ def normal_residual(df: DataFrame, returns: DataFrame, styles: list[str], cap: s
 
 def country_identity(df: DataFrame, returns: DataFrame, styles: list[str], cap: str = "float_cap") -> DataFrame:
     """Per date: the country return, and the weighted mean return less what the styles' mean exposures earn; the two agree."""
-    sample = estimation_sample(df, cap=cap).withColumn("__w", sqrt_cap_weight(cap))
-    means = sample.groupBy("trade_date").agg(F.sum(F.col("__w") * F.col("ret")).alias("mean_return"), *[F.sum(F.col("__w") * F.coalesce(s, F.lit(0.0))).alias(s) for s in styles])
+    mean = lambda x: ratio(F.sum(root_cap(cap) * x), F.sum(root_cap(cap)))
+    means = estimation_sample(df, cap=cap).groupBy("trade_date").agg(mean(F.col("ret")).alias("mean_return"), *[mean(F.coalesce(s, F.lit(0.0))).alias(s) for s in styles])
     earned = returns.where("factor_group = 'style'").join(means.unpivot(["trade_date"], styles, "factor", "exposure"), ["trade_date", "factor"])
     earned = earned.groupBy("trade_date").agg(F.sum(F.col("value") * F.col("exposure")).alias("earned"))
     country = returns.where("factor_group = 'country'").select("trade_date", F.col("value").alias("country"))

@@ -207,6 +207,22 @@ def test_standardize_degenerate(spark, rows):
     assert set(column(xsection.standardize(section(spark, rows), ["x"]), "x", "code")) == {None}
 
 
+def test_no_cross_section_meets_in_one_task(spark):
+    """Standardising, residuals and the normal equations take a date's sums map-side: no window gathers its rows, and a null date keeps them."""
+    rng = np.random.default_rng(5)
+    rows = [("d" if i % 2 else None, str(i), "n" if i % 3 else "s", *[float(v) for v in rng.normal(size=4)], float(rng.uniform(1, 4))) for i in range(40)]
+    df = spark.createDataFrame(rows, "day string, code string, industry string, ret double, y double, p double, q double, float_cap double")
+    df = df.withColumn("trade_date", F.when(F.col("day") == "d", F.lit("2020-01-31").cast("date"))).drop("day")
+    both = xsection.orthogonalize(xsection.orthogonalize(df, "y", ["p", "q"]), "q", ["p"])
+    plan = lambda x: x._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan(both)
+    assert "Window" not in plan(model.normal_residual(df, model.factor_returns(df, ["y"]), ["y"]))
+    shared = xsection.orthogonalized(df, {"y": ["p", "q"], "q": ["p"]})
+    a, b = ([tuple(r) for r in x.select("code", "y", "q").orderBy("code").collect()] for x in (both, shared))
+    assert len(a) == 40 and all(r[1] is not None and r[2] is not None for r in a)
+    np.testing.assert_allclose([r[1:] for r in a], [r[1:] for r in b], atol=1e-9)
+
+
 @pytest.mark.parametrize("refs", [["p"], ["p", "q"]])
 def test_residual(spark, refs):
     rng = np.random.default_rng(2)
