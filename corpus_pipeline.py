@@ -1,7 +1,8 @@
 """Corpus pipeline: language ID, exact dedup, SimHash near-dedup, suffix-array dedup, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept.  All but the last return the
-columns of ``documents``; the last returns the pieces of the packed sequences.
+columns of ``documents``; the last returns the pieces of the packed sequences.  All five share executors that live on, so
+each has Spark hand texts to Python in small batches (``common.small_batches``, a setting of the session).
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm import exact_dedup, language_id, packing, similar_dedup, suffix_dedup
-from riskloom.llm.common import read, stage
+from riskloom.llm.common import read, small_batches, stage
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,6 +18,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Null texts go; rows that repeat another stay as they are, and columns of any name are kept; no rows give none.
     """
+    small_batches(spark)
     model = language_id.fit(docs.where(~language_id.held_out()))
     return language_id.accepted(docs, model)
 
@@ -37,6 +39,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Texts without a word are similar to nothing and stay; fewer than five words are one shingle; null ids come last; of repeated
     rows with a word one stays; columns of any name are kept; no rows give none.
     """
+    small_batches(spark)
     return similar_dedup.near_dedup(docs)
 
 
@@ -46,6 +49,7 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     All rows stay, those of one id as they are; null ids come after all others and are one id; bytes of a character cut in two go; null texts
     hold nothing; columns of any name are kept; no rows give none.
     """
+    small_batches(spark)
     return suffix_dedup.dedup(docs)
 
 
@@ -54,6 +58,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts are their end token alone; repeated rows are packed each; no rows give none; only ids and texts are looked at.
     """
+    small_batches(spark)
     return packing.digest(packing.pack(docs))
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import ctypes
+import inspect
 import os
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -115,6 +116,22 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield b.slice(at, rows)
 
 
+#: Bytes of an Arrow batch that Spark makes for Python where ``small_batches`` holds.
+BATCH_BYTES = 1 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches for Python hold BATCH_BYTES and a row at most; a smaller bound of the user stays.
+
+    Spark's own bound (10,000 rows, 64 MB) lets each task hold a batch of whole texts several times over, beside the heap and in
+    the Python worker.  How rows fall into batches never changes a result.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    kept = re.sub(r"[bB]$", "", spark.conf.get(name))
+    if not kept.isdigit() or int(kept) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def spare_name(docs: DataFrame, wanted: str) -> str:
     """``wanted``, with underscores in front until no column of ``docs`` has the name."""
     taken = {c.lower() for c in docs.columns}
@@ -153,3 +170,23 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):
         pass  # another C library
+
+
+def gives_back(work: Callable) -> Callable:
+    """``work``, a generator or a function of one or two arguments, and then what it held goes back to the system: within it
+    ``give_back`` would find its arrays still in use."""
+    if inspect.isgeneratorfunction(work):
+
+        def run(a):
+            yield from work(a)
+            give_back()
+
+        return run
+
+    def done(*args):
+        out = work(*args)
+        give_back()
+        return out
+
+    # Spark counts the arguments.
+    return (lambda a: done(a)) if len(inspect.signature(work).parameters) == 1 else (lambda a, b: done(a, b))

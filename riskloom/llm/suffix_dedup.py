@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import give_back, read
+from riskloom.llm.common import gives_back, read
 from riskloom.llm.induced_sort import MEMORY_QUEUE, Queue, room, sorted_blocks
 
 LENGTH, GRAM = 50, 24
@@ -315,6 +315,7 @@ def intervals(rows: DataFrame, size: int, length: int, gram: int, sort_bytes: in
     ranges = shards = max(partitions, -(-size // RANGE_BYTES))
     width = length - gram + 1
 
+    @gives_back
     def send(t: pa.Table) -> pa.Table:
         """A bucket's minimizers, each once with its count, packed by ranges of them."""
         key = np.sort(spread(hashed(*joined(t["text"]), length, gram)[2]))
@@ -323,9 +324,9 @@ def intervals(rows: DataFrame, size: int, length: int, gram: int, sort_bytes: in
         place = part_of(key, ranges)
         first = heads(place)
         sent = [pack(deltas(key[a:z]), many[a:z]) for a, z in spans(first, len(key))]
-        give_back()
         return table([place[first].astype(np.int32), [t["bucket"][0].as_py()] * len(first), sent], ["range", "bucket", "keys"], [pa.int32(), pa.int32(), pa.binary()])
 
+    @gives_back
     def meet(t: pa.Table) -> pa.Table:
         """Those minimizers of each bucket that another bucket has, too, and which of them are hot."""
         parts = [unpack(x) for x in t["keys"].to_pylist()]
@@ -341,11 +342,11 @@ def intervals(rows: DataFrame, size: int, length: int, gram: int, sort_bytes: in
         key, bucket, hot = key[both][order], bucket[both][order], hot[both][order]
         first = heads(bucket)
         sent = [pack(deltas(key[a:z]), hot[a:z].astype(np.uint8)) for a, z in spans(first, len(key))]
-        give_back()
         return table([bucket[first], sent], ["bucket", "keys"], [pa.int32(), pa.binary()])
 
     found = rows.groupBy("bucket").applyInArrow(send, "range int, bucket int, keys binary").groupBy("range").applyInArrow(meet, "bucket int, keys binary")
 
+    @gives_back
     def extract(t: pa.Table, known: pa.Table) -> pa.Table:
         """Messages (shard, bucket, data) of strings with their rows; finished intervals have no shard."""
         names, kinds = ["shard", "bucket", "data"], [pa.int32(), pa.int32(), pa.binary()]
@@ -408,11 +409,11 @@ def intervals(rows: DataFrame, size: int, length: int, gram: int, sort_bytes: in
         for a, z in spans(cuts, len(order)):
             at = order[a:z]
             sent += strings(start[at], end[at], key[at], doc[at])
-        give_back()
         return table([[s if s >= 0 else bucket % shards for s, _, _ in sent], [b for _, b, _ in sent], [x for _, _, x in sent]], names, kinds)
 
     pieces = rows.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(extract, "shard int, bucket int, data binary")
 
+    @gives_back
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spool = [Queue(8 << 20, ("<u1",)), Queue(MEMORY_QUEUE, ("<u2", "<u4")), Queue(MEMORY_QUEUE, ("<i4", "<i8", "<i8", "<u4"))]
         size, held, waiting = np.zeros(PARTS, dtype=np.int64), [], 0
@@ -470,7 +471,6 @@ def intervals(rows: DataFrame, size: int, length: int, gram: int, sort_bytes: in
                 ready, count = [], 0
         if count:
             yield out(list(by_bucket(*(np.concatenate(x) for x in zip(*ready, strict=True)))))
-        give_back()
 
     return pieces.repartitionById(shards, F.col("shard")).mapInArrow(shard, "bucket int, data binary")
 
@@ -486,6 +486,7 @@ def cut_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     rows, _, size = dealt(docs, id_col, text_col, bucket_bytes, [f.name for f in fields])
     spans_ = intervals(rows, size, length, gram, sort_bytes)
 
+    @gives_back
     def cut(t: pa.Table, found: pa.Table) -> pa.Table:
         data, edges = joined(t["text"])
         numbers, n = t["row"].to_numpy(), t.num_rows
@@ -516,7 +517,6 @@ def cut_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
             made = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(kept.tobytes())])
         runs = pa.array(np.append(0, np.cumsum(np.bincount(doc, minlength=n))).astype(np.int32))
         lists = [pa.ListArray.from_arrays(runs, pa.array(x - edges[doc])) for x in (begin, end)]
-        give_back()
         return pa.table([*[t[f"c{i}"] for i in range(len(fields))], made, *lists], names=[*[f"c{i}" for i in range(len(fields))], *new])
 
     schema = ", ".join([f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(fields)] + ["kept binary, removed_begins array<long>, removed_ends array<long>"])
